@@ -33,7 +33,8 @@ def hierarchy_rollup(
     keys = [key for key, _ in levels]
     labels = {label: position for position, (key, label) in enumerate(levels, 1) if label != key}
     columns = [c for c in dict.fromkeys([*keys, *labels]) if c != "Date"]
-    described = rows.join(calendar.select("Date", *[F.col(f"`{c}`") for c in columns]), "Date", "left")
+    days = F.broadcast(calendar.select("Date", *[F.col(f"`{c}`") for c in columns]))
+    described = rows.join(days, "Date", "left")
     # grouping_id() has one bit per key, set where the key is rolled up: 2^(n-level) - 1.
     level = F.lit(len(keys)) - F.log2(F.grouping_id() + 1).cast("int")
     rolled = described.rollup(*[F.col(f"`{k}`") for k in keys]).agg(

@@ -1,24 +1,64 @@
 """Joins between facts, dimensions, calendars and histories.
 
-No join here is forced to broadcast: Spark broadcasts a dimension when its measured
-size allows it and otherwise shuffles, where adaptive execution splits a hot key.
+A dimension is broadcast only after its rows were counted (or when its size is bounded by
+construction, as a calendar's is). Otherwise the join is a shuffled one, in which adaptive
+execution splits a hot key over several tasks. Two tables that both grow with the business,
+such as order lines and order headers, are never broadcast at all.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+# A dimension of at most this many rows is sent to every executor.
+BROADCAST_ROWS = 200_000
+
+
+def broadcast_if_small(side: DataFrame, counted: DataFrame | None = None) -> DataFrame:
+    """Mark ``side`` for broadcast if a count finds few enough rows, otherwise leave it to a shuffle.
+
+    The count decides before the large side is shuffled, and from rows instead of a guess:
+    Spark's own estimate for a flattened snowflake is the product of the sizes joined. Give
+    ``counted`` when another table is known to have at least as many rows and is cheaper to
+    count; a plain Parquet table is counted from its file footers.
+    """
+    rows = (side if counted is None else counted).count()
+    return F.broadcast(side) if rows <= BROADCAST_ROWS else side
+
+
+def join_growing(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Join two tables that both grow without bound: sort-merge, whatever the estimates say."""
+    return left.hint("merge").join(right, key, how)
+
+
 @dataclass(frozen=True)
 class Dimension:
-    """A table with one row per ``key``, reached from column ``fact_key`` of the fact."""
+    """A table with one row per ``key``, reached from column ``fact_key`` of the fact.
+
+    ``bounded`` says that its size is limited by construction. ``counted`` is a cheaper
+    table to count instead, with at least as many rows.
+    """
 
     rows: DataFrame
     key: str
     fact_key: str
+    bounded: bool = False
+    counted: DataFrame | None = None
+
+    def side(self, columns: list[str], key_name: str) -> DataFrame:
+        """The key and some columns, ready to be joined to a fact."""
+        return self._sized(self.rows.select(F.col(self.key).alias(key_name), *[F.col(f"`{c}`") for c in columns]))
+
+    def members(self, condition: Column) -> DataFrame:
+        """The keys, under the fact's name for them, of the rows that satisfy a condition."""
+        return self._sized(self.rows.filter(condition).select(F.col(self.key).alias(self.fact_key)))
+
+    def _sized(self, side: DataFrame) -> DataFrame:
+        return F.broadcast(side) if self.bounded else broadcast_if_small(side, self.counted)
 
 
 @dataclass(frozen=True)
@@ -53,9 +93,7 @@ def star_join(star: Star, columns: list[str], fact: DataFrame | None = None) ->
             wanted.setdefault(owner, []).append(column)
     for owner, owned in wanted.items():
         dimension = star.dimensions[owner]
-        side = dimension.rows.select(
-            F.col(dimension.key).alias(f"_{owner}_key"), *[F.col(f"`{c}`") for c in dict.fromkeys(owned)]
-        )
+        side = dimension.side(list(dict.fromkeys(owned)), f"_{owner}_key")
         # A column of the same name on the fact gives way to the dimension's.
         joined = joined.drop(*[c for c in owned if c in joined.columns and c != dimension.fact_key])
         joined = joined.join(side, joined[dimension.fact_key] == side[f"_{owner}_key"], "left").drop(f"_{owner}_key")
@@ -116,4 +154,4 @@ def by_role(
             raise ValueError(f"no role {use!r}; the fact has {sorted(named)}")
         role = named[use]
     side = calendar.select(F.col("Date").alias("_day"), *[F.col(f"`{c}`") for c in columns])
-    return join_on_date(fact, role.fact_col, side, "_day").drop("_day")
+    return join_on_date(fact, role.fact_col, F.broadcast(side), "_day").drop("_day")

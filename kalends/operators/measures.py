@@ -41,7 +41,7 @@ NON_ADDITIVE: dict[str, Callable[[Fields], Column]] = {
     "orders": lambda f: distinct_count(f.order),
     "purchase_days": lambda f: distinct_count(_day(f)),
     "product_territory_pairs": lambda f: F.count_distinct(F.struct(f.product, f.territory)),
-    "calendar_days": lambda f: F.datediff(F.max(_date(f)), F.min(_date(f))) + 1,
+    "calendar_days": lambda f: F.datediff(_as_date(f, F.max(f.date)), _as_date(f, F.min(f.date))) + 1,
 }
 # Measures computed from others.
 DERIVED: dict[str, tuple[list[str], Callable[[], Column]]] = {
@@ -57,8 +57,9 @@ def _day(f: Fields) -> Column:
     return F.col(f.date) if f.date.endswith("Key") else F.to_date(f.date)
 
 
-def _date(f: Fields) -> Column:
-    return F.to_date(F.col(f.date).cast("string"), "yyyyMMdd") if f.date.endswith("Key") else F.to_date(f.date)
+def _as_date(f: Fields, value: Column) -> Column:
+    """An aggregated date, read back from the integer key where the fact has one (keys sort like dates)."""
+    return F.to_date(value.cast("string"), "yyyyMMdd") if f.date.endswith("Key") else F.to_date(value)
 
 
 def _expand(measures: list[str]) -> list[str]:
@@ -111,8 +112,7 @@ def evaluate(
             fact = fact.filter(test(F.col(f"`{column}`")))
         else:
             dimension = star.dimensions[owner]
-            members = dimension.rows.filter(test(F.col(f"`{column}`")))
-            fact = in_set(fact, members.select(F.col(dimension.key).alias(dimension.fact_key)), dimension.fact_key)
+            fact = in_set(fact, dimension.members(test(F.col(f"`{column}`"))), dimension.fact_key)
     base = _expand(measures)
     if not all(m in ADDITIVE for m in base):
         return measure_rows(star_join(star, by, fact), by, measures, fields)

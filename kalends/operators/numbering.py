@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kalends.functions.scalars import bucket_of
+from kalends.operators.joins import BROADCAST_ROWS
 from kalends.storage import materialise
 
 # monotonically_increasing_id() keeps the row's position within its partition in the lower 33 bits.
@@ -51,10 +52,15 @@ def assign_round_robin(
 
     Row 1 goes to the first member, row 2 to the second, and after the last member the
     first is next. The member's key lands in column ``name``. Slots receive equally many
-    rows, so the join on the slot cannot be skewed.
+    rows, so the join on the slot cannot be skewed. Members few enough to be broadcast are
+    numbered by a plain window, more of them the way the fact is.
     """
-    slots = global_row_number(members.select(F.col(member_key).alias(name)), [name], "_slot")
-    count = slots.agg(F.count(F.lit(1))).scalar()
+    keys = members.select(F.col(member_key).alias(name))
+    count = keys.count()
+    if count <= BROADCAST_ROWS:
+        slots = F.broadcast(keys.withColumn("_slot", F.row_number().over(Window.orderBy(name))))
+    else:
+        slots = global_row_number(keys, [name], "_slot")
     numbered = global_row_number(fact, fact_order, "_number")
     return (
         numbered.withColumn("_slot", bucket_of("_number", count))

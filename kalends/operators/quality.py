@@ -105,7 +105,7 @@ def date_coverage(tables: dict[str, DataFrame], calendar: DataFrame, related: se
     ``related`` lists the (table, column) pairs that are already connected to the calendar;
     the others are candidates. Rows are counted per day before the calendar is consulted.
     """
-    known = calendar.select("Date", F.lit(True).alias("known"))
+    known = F.broadcast(calendar.select("Date", F.lit(True).alias("known")))
     parts = []
     for table, df in tables.items():
         for column in date_columns(df):

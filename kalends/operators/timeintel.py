@@ -68,7 +68,7 @@ def ly_dense(
     """
     now = calendar.select(F.col("Date").alias("_day"), *_named(periods), F.lit(True).alias("_is_now"))
     ago = prior_year_days(calendar, periods, single_days=single_days).withColumn("_is_now", F.lit(False))
-    roles = now.unionByName(ago)
+    roles = F.broadcast(now.unionByName(ago))  # at most three rows per calendar day
     is_now = F.coalesce("_is_now", F.lit(True))
     return (
         totals.join(roles, totals["Date"] == roles["_day"], "left")
@@ -148,7 +148,7 @@ def with_yoy(compared: DataFrame) -> DataFrame:
 
 def in_relative_period(totals: DataFrame, calendar: DataFrame, condition: Column) -> DataFrame:
     """Totals of the calendar days that satisfy ``condition``, such as ``F.col("YearOffset") == 0``."""
-    return totals.join(calendar.filter(condition), "Date", "left_semi")
+    return totals.join(F.broadcast(calendar.filter(condition).select("Date")), "Date", "left_semi")
 
 
 def regroup(totals: DataFrame, members: DataFrame, key: str, by: list[str]) -> DataFrame:

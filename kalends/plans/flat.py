@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kalends.functions.scalars import full_name
+from kalends.operators.joins import broadcast_if_small, join_growing
 from kalends.operators.numbering import assign_round_robin
 
 Tables = dict[str, DataFrame]
@@ -41,11 +42,14 @@ def flat_from_order_entry(t: Tables) -> DataFrame:
         t["people"].select(F.col("BusinessEntityID").alias("PersonID"), "FirstName", "LastName"), "PersonID", "left"
     )
     territories = t["territories"].select("TerritoryID", F.col("Name").alias("Territorio"), "CountryRegionCode")
-    orders = t["headers"].join(buyers, "CustomerID").join(territories, "TerritoryID")
+    orders = t["headers"].join(buyers, "CustomerID").join(
+        broadcast_if_small(territories, t["territories"]), "TerritoryID"
+    )
     products = flatten_products(t["products"], t["subcategories"], t["categories"])
     sellers = person_names(t["people"], "SalesPersonID", "NombreVendedor")
     return (
-        t["lines"].join(products, "ProductID").join(orders, "SalesOrderID").join(sellers, "SalesPersonID", "left")
+        join_growing(t["lines"].join(broadcast_if_small(products, t["products"]), "ProductID"), orders, "SalesOrderID")
+        .join(broadcast_if_small(sellers, t["people"]), "SalesPersonID", "left")
         .select(
             "SalesOrderID", "SalesOrderDetailID", "OrderDate",
             *[c for c in ("DueDate", "ShipDate") if c in t["headers"].columns + t["lines"].columns],
@@ -104,8 +108,10 @@ def flat_from_warehouse(t: Tables, order_by: list[str] | None = None) -> DataFra
         "SalesAmount": "LineTotal",
     })
     return (
-        lines.join(customers, "ClienteID").join(products, "ProductoID")
-        .join(territories, "TerritorioID").join(sellers, "VendedorID")
+        lines.join(broadcast_if_small(customers), "ClienteID")
+        .join(broadcast_if_small(products, t["products"]), "ProductoID")
+        .join(broadcast_if_small(territories), "TerritorioID")
+        .join(broadcast_if_small(sellers), "VendedorID")
         .select(
             "SalesOrderNumber", "SalesOrderLineNumber", "OrderDate", "DueDate", "ShipDate", "ClienteID",
             "NombreCliente", "TerritorioID", "Territorio", "Pais", "ProductoID", "Producto", "Color",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from kalends.functions.dates import date_key
 from kalends.functions.scalars import full_name
 from kalends.operators.calendar import OPEN_END, small_date_dim
-from kalends.operators.joins import Dimension, Star
+from kalends.operators.joins import Dimension, Star, join_growing
 from kalends.plans.flat import (
     Tables, flatten_products, person_names, sales_with_sellers, salespeople, warehouse_snowflake,
 )
@@ -55,7 +55,7 @@ def sales_fact(t: Tables) -> DataFrame:
 
     ``OrderDate`` and ``ShipDate`` stay beside the integer key for the roles they play.
     """
-    joined = t["lines"].join(t["headers"], "SalesOrderID").withColumn("FechaKey", date_key("OrderDate"))
+    joined = join_growing(t["lines"], t["headers"], "SalesOrderID").withColumn("FechaKey", date_key("OrderDate"))
     renamed = joined.withColumnsRenamed({
         "SalesOrderID": "SalesOrderNumber", "SalesOrderDetailID": "SalesOrderLineNumber",
         "CustomerID": "ClienteKey", "TerritoryID": "TerritorioKey", "ProductID": "ProductoKey",
@@ -74,7 +74,7 @@ def order_totals(t: Tables, keep: list[str] | None = None) -> DataFrame:
     per_order = t["lines"].groupBy("SalesOrderID", *(keep or [])).agg(
         F.sum("LineTotal").alias("LineTotal"), F.count(F.lit(1)).alias("Lineas")
     )
-    return per_order.join(t["headers"], "SalesOrderID").withColumnsRenamed({
+    return join_growing(per_order, t["headers"], "SalesOrderID").withColumnsRenamed({
         "SalesOrderID": "SalesOrderNumber", "CustomerID": "ClienteKey", "TerritoryID": "TerritorioKey",
     })
 
@@ -85,12 +85,14 @@ def star_from_order_entry(t: Tables, calendar: DataFrame, dimensions: list[str]
     ``dimensions`` names the ones to set up; all of them when not given.
     """
     plans = {
-        "Fecha": lambda: Dimension(calendar, "idFecha", "FechaKey"),
-        "Dim_Producto": lambda: Dimension(product_dim(t), "ProductoKey", "ProductoKey"),
-        "Dim_Cliente": lambda: Dimension(customer_dim(t), "ClienteKey", "ClienteKey"),
-        "Dim_Territorio": lambda: Dimension(territory_dim(t), "TerritorioKey", "TerritorioKey"),
+        "Fecha": lambda: Dimension(calendar, "idFecha", "FechaKey", bounded=True),
+        "Dim_Producto": lambda: Dimension(product_dim(t), "ProductoKey", "ProductoKey", counted=t["products"]),
+        "Dim_Cliente": lambda: Dimension(customer_dim(t), "ClienteKey", "ClienteKey", counted=t["customers"]),
+        "Dim_Territorio": lambda: Dimension(territory_dim(t), "TerritorioKey", "TerritorioKey", counted=t["territories"]),
         # The seller's own territory must not be taken for the sale's.
-        "Dim_Vendedor": lambda: Dimension(seller_dim(t).drop("TerritorioKey"), "VendedorKey", "VendedorKey"),
+        "Dim_Vendedor": lambda: Dimension(
+            seller_dim(t).drop("TerritorioKey"), "VendedorKey", "VendedorKey", counted=t["sellers"]
+        ),
     }
     return Star(sales_fact(t), {name: plans[name]() for name in dimensions or plans})
 
@@ -137,6 +139,7 @@ def keyed_dim(flat: DataFrame, key: str, attributes: list[str], new_key: str) ->
 def star_from_flat(flat: DataFrame, *, unique_sellers: bool = False) -> Tables:
     """Every dimension and the fact, derived from the flat table alone.
 
+    Each of them reads its own few columns of ``flat``, so that should be a stored table.
     Sellers seen in several territories give several rows unless ``unique_sellers``.
     """
     build_sellers = keyed_dim if unique_sellers else distinct_dim

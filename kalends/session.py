@@ -14,6 +14,8 @@ def local_session(cores: int | str = "*", **settings: str) -> SparkSession:
     builder = (
         SparkSession.builder.master(f"local[{cores}]").appName("kalends")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", "8")

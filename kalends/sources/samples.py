@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kalends.operators.joins import join_growing
 from kalends.sources.readers import MONEY, read_parquet
 
 _TABLES = {
@@ -133,7 +134,7 @@ def warehouse(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The tables of an existing warehouse: a sales fact without sellers, and its dimensions."""
     entry = order_entry(spark, sf_dir)
     return OnDemand({
-        "sales": lambda: order_lines(spark, sf_dir).join(entry["headers"], "SalesOrderID").select(
+        "sales": lambda: join_growing(order_lines(spark, sf_dir), entry["headers"], "SalesOrderID").select(
             F.col("SalesOrderID").alias("SalesOrderNumber"), F.col("SalesOrderDetailID").alias("SalesOrderLineNumber"),
             "OrderDate", F.lit(None).cast("timestamp_ntz").alias("DueDate"), "ShipDate",
             F.col("CustomerID").alias("CustomerKey"), F.col("TerritoryID").alias("SalesTerritoryKey"),

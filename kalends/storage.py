@@ -11,12 +11,12 @@ _local_folders: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
+    """The folder named by ``spark.checkpoint.dir``, or the checkpoint folder the context was given.
 
-    A session without that setting gets a scratch folder only when it runs in local mode;
+    A session without either gets a scratch folder only when it runs in local mode;
     on a cluster a folder of one machine would not be seen by the others.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder
     if not spark.sparkContext.master.startswith("local"):
