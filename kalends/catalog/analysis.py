@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from kalends.catalog.calendars import order_calendar, order_days
 from kalends.catalog.registry import AS_OF, CAL, LINES, money, query, text, week_sql, whole
+from kalends.functions.dates import month_name
 from kalends.functions.names import MONTHS
 from kalends.functions.scalars import safe_div
 from kalends.operators import timeintel as ti
@@ -281,6 +282,19 @@ def ly_sparse_all(spark, sf_dir):
     return _compared(compared, ["TerritorioKey", "year", "month"])
 
 
+@query(f"""WITH {_DAYS}, pri AS (SELECT DISTINCT year(d) AS y, month(d) AS m, {_ROLLED} AS p FROM al),
+cur AS (SELECT year(d) AS y, month(d) AS m, sum(s) AS s FROM al GROUP BY 1, 2),
+ly AS (SELECT y, m, sum(s) AS ly FROM pri JOIN al ON al.d = p GROUP BY 1, 2)
+SELECT y AS year, m AS month, {MONTHS['es']}[m] AS month_name, CAST(s AS DOUBLE) AS sales,
+       CAST(ly AS DOUBLE) AS parallel_period
+FROM cur LEFT JOIN ly USING (y, m)""")
+def parallel_period_by_month(spark, sf_dir):
+    """Sales and parallel period by year and month label, without a calendar."""
+    periods = {**MONTH, "month_name": month_name}
+    compared = ti.with_yoy(ti.ly_sparse(all_days(spark, sf_dir), [], periods)).orderBy("year", "month")
+    return compared.select(whole("year"), whole("month"), "month_name", money("sales"), money("parallel_period"))
+
+
 @query(f"""WITH {_DAYS}, cur AS (SELECT t, year(d) AS y, month(d) AS m, sum(s) AS s FROM dt GROUP BY 1, 2, 3),
 years AS (SELECT t, year(d) + 1 AS y, sum(s) AS ly FROM dt GROUP BY 1, 2)
 SELECT CAST(t AS BIGINT) AS territorio_key, y AS year, m AS month, CAST(s AS DOUBLE) AS sales, CAST(ly AS DOUBLE) AS ly

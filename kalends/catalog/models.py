@@ -280,7 +280,8 @@ SELECT s_suppkey AS vendedor_key, count(*) AS rows, CAST(sum(amount) AS DOUBLE)
 def round_robin_seller(spark, sf_dir):
     """Lines dealt to the salespeople in turn: what each of them receives."""
     t = samples.warehouse(spark, sf_dir)
-    return flat_plans.sales_with_sellers(t["sales"], t["employees"], LINE_ORDER).groupBy(
+    sales = t["sales"].select(*LINE_ORDER, "SalesAmount")
+    return flat_plans.sales_with_sellers(sales, t["employees"], LINE_ORDER).groupBy(
         whole("VendedorKey", "vendedor_key")
     ).agg(F.count(F.lit(1)).alias("rows"), money(F.sum("SalesAmount"), "total"))
 

@@ -78,7 +78,7 @@ def describe_days(
     fiscal_year_basis: str = "End",
     lang: str = DEFAULT_LANGUAGE,
     as_of: dt.date | None = None,
-    fiscal_week_mode: str = "reference",
+    fiscal_week_mode: str = "shifted",
     columns: list[str] | None = None,
 ) -> DataFrame:
     """Describe each ``Date`` of ``days`` with the columns of the date dimension, or with some of them.
@@ -86,7 +86,7 @@ def describe_days(
     ``as_of`` is the day the offsets and the Current/Past/Future labels refer to; without
     it they follow the session's current date. ``fiscal_week_mode`` says how far the date
     is moved back before its fiscal week is read: by ``fiscal_start_month`` months
-    ("reference", the customary column) or by one month less, so that the first day of
+    ("shifted", the customary column) or by one month less, so that the first day of
     the fiscal year falls in week 1 ("aligned").
 
     Everything but ``WorkingDayNumber`` is one projection; that running count is a window
@@ -94,8 +94,8 @@ def describe_days(
     """
     D.check_fiscal(fiscal_start_month, fiscal_year_basis)
     check_language(lang)
-    if fiscal_week_mode not in ("reference", "aligned"):
-        raise ValueError(f"fiscal_week_mode must be 'reference' or 'aligned', got {fiscal_week_mode!r}")
+    if fiscal_week_mode not in ("shifted", "aligned"):
+        raise ValueError(f"fiscal_week_mode must be 'shifted' or 'aligned', got {fiscal_week_mode!r}")
     today = F.current_date() if as_of is None else F.lit(as_of)
     day = F.col("Date")
     year, month, quarter = F.year(day), F.month(day), F.quarter(day)
@@ -178,7 +178,7 @@ def date_dim(
     fiscal_year_basis: str = "End",
     lang: str = DEFAULT_LANGUAGE,
     as_of: dt.date | None = None,
-    fiscal_week_mode: str = "reference",
+    fiscal_week_mode: str = "shifted",
     columns: list[str] | None = None,
 ) -> DataFrame:
     """The date dimension for whole calendar years, ``start_year`` to ``end_year`` included."""
