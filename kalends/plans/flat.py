@@ -37,6 +37,7 @@ def flat_from_order_entry(t: Tables) -> DataFrame:
     People are joined in two roles, as customers and as sellers. Everything that belongs to
     an order is joined to the headers and the snowflake is flattened first, so the line
     table, by far the largest, is joined only three times: with headers, products and sellers.
+    The headers come first: that join always shuffles, and then moves the bare lines.
     """
     buyers = t["customers"].select("CustomerID", "PersonID").join(
         t["people"].select(F.col("BusinessEntityID").alias("PersonID"), "FirstName", "LastName"), "PersonID", "left"
@@ -48,7 +49,8 @@ def flat_from_order_entry(t: Tables) -> DataFrame:
     products = flatten_products(t["products"], t["subcategories"], t["categories"])
     sellers = person_names(t["people"], "SalesPersonID", "NombreVendedor")
     return (
-        join_growing(t["lines"].join(broadcast_if_small(products, t["products"]), "ProductID"), orders, "SalesOrderID")
+        join_growing(t["lines"], orders, "SalesOrderID")
+        .join(broadcast_if_small(products, t["products"]), "ProductID")
         .join(broadcast_if_small(sellers, t["people"]), "SalesPersonID", "left")
         .select(
             "SalesOrderID", "SalesOrderDetailID", "OrderDate",

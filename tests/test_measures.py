@@ -195,6 +195,40 @@ def plan_of(spark, name):
     return QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.fixture
+def settings(spark):
+    """Set session settings for one test."""
+    changed = {}
+
+    def change(**values):
+        for name, value in values.items():
+            key = "spark.sql." + name
+            changed.setdefault(key, spark.conf.get(key))
+            spark.conf.set(key, value)
+
+    yield change
+    for key, value in changed.items():
+        spark.conf.set(key, value)
+
+
+@pytest.mark.parametrize("build", ["fact", "flat"])
+def test_an_order_with_a_third_of_the_lines_is_split(spark, settings, build):
+    from kalends.plans import flat as flat_plans
+    from kalends.plans import star as star_plans
+    from kalends.sources import samples
+
+    settings(**{
+        "shuffle.partitions": "32", "adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "adaptive.advisoryPartitionSizeInBytes": "10k", "adaptive.coalescePartitions.enabled": "false",
+    })
+    t = samples.order_entry(spark, "/root/testdata/sf0.01")
+    hot = F.when(F.pmod(F.xxhash64(*t["lines"].columns), F.lit(3)) == 0, 20).otherwise(F.col("SalesOrderID"))
+    t["lines"] = t["lines"].repartition(16).withColumn("SalesOrderID", hot.cast("long"))
+    joined = star_plans.sales_fact(t) if build == "fact" else flat_plans.flat_from_order_entry(t)
+    assert len(joined.collect()) == 60_000
+    assert "SortMergeJoin(skew=true)" in joined._jdf.queryExecution().executedPlan().toString()
+
+
 def test_date_slicer_reaches_the_scan(spark):
     plan = plan_of(spark, "sales_between_dates")
     assert "GreaterThanOrEqual(o_orderdate" in plan and "LessThan(o_orderdate" in plan
