@@ -1,0 +1 @@
+"""Dimensional modelling and time intelligence on Spark DataFrames."""

@@ -97,7 +97,7 @@ f AS (SELECT s, basis, d, CAST(d - to_months(s) AS DATE) AS fd,
              CASE WHEN month(d) >= s THEN year(d) ELSE year(d) - 1 END + CASE basis WHEN 'End' THEN 1 ELSE 0 END AS fy,
              (month(d) + 12 - s) % 12 AS passed
       FROM cal, sets)
-SELECT s AS fiscal_start_month, basis AS fiscal_year_basis, CAST(d AS VARCHAR) AS date,
+SELECT CAST(s AS BIGINT) AS fiscal_start_month, basis AS fiscal_year_basis, CAST(d AS VARCHAR) AS date,
        CAST(fd AS VARCHAR) AS fiscal_date, fy AS fiscal_year, passed // 3 + 1 AS fiscal_quarter,
        fy * 100 + passed // 3 + 1 AS fiscal_quarter_code, {week_sql('fd')} AS fiscal_week_of_year,
        passed + 1 AS fiscal_month_number

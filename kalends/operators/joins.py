@@ -67,15 +67,19 @@ class Star:
     dimensions: dict[str, Dimension]
 
     def owner_of(self, column: str) -> str | None:
-        """The dimension that carries ``column``; None when the fact itself does."""
-        for name, dimension in self.dimensions.items():
-            if column in dimension.rows.columns and column != dimension.key:
-                return name
-        for name, dimension in self.dimensions.items():
-            if column in dimension.rows.columns:
-                return name
+        """The dimension that carries ``column``; None when the fact itself does.
+
+        A dimension's attributes come first, then the fact's columns, then keys that only a
+        dimension has.
+        """
+        carriers = [name for name, dimension in self.dimensions.items() if column in dimension.rows.columns]
+        attribute_of = [name for name in carriers if column != self.dimensions[name].key]
+        if attribute_of:
+            return attribute_of[0]
         if column in self.fact.columns:
             return None
+        if carriers:
+            return carriers[0]
         raise ValueError(f"no table of the star has a column {column!r}")
 
 
@@ -95,7 +99,7 @@ def star_join(star: Star, columns: list[str], fact: DataFrame | None = None) ->
         dimension = star.dimensions[owner]
         side = dimension.side(list(dict.fromkeys(owned)), f"_{owner}_key")
         # A column of the same name on the fact gives way to the dimension's.
-        joined = joined.drop(*[c for c in owned if c in joined.columns and c != dimension.fact_key])
+        joined = joined.drop(*[c for c in owned if c != dimension.fact_key])
         joined = joined.join(side, joined[dimension.fact_key] == side[f"_{owner}_key"], "left").drop(f"_{owner}_key")
     return joined
 

@@ -52,6 +52,13 @@ def test_unmatched_rows_form_the_blank_member(star):
     assert got == {("A", Decimal(30), 2), ("B", Decimal(5), 1), (None, Decimal(40), 2)}
 
 
+def test_grouping_by_keys(star):
+    assert rows(evaluate(star, ["ProductoKey"], ["lines"])) == {(10, 2), (11, 1), (99, 2)}
+    assert rows(evaluate(star, ["idFecha", "Territorio"], ["lines"])) == {
+        (20240229, "N", 2), (20240302, "S", 2), (20250101, "N", 1)
+    }
+
+
 def test_blank_groups_are_dropped(star):
     by_year = evaluate(star, ["Categoria", "Year"], ["sales"])
     assert (None, 2025, None) not in rows(by_year) and by_year.count() == 3
