@@ -1,38 +1,69 @@
-"""Where intermediate tables go when a plan has to be cut."""
+"""Where intermediate tables go when a plan has to be cut, and when they go away."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_folders: dict[str, str] = {}
-
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``, or the checkpoint folder the context was given.
+    """The folder of ``spark.checkpoint.dir``, or a folder in the session's warehouse where that is unset.
 
-    A session without either gets a scratch folder only when it runs in local mode;
-    on a cluster a folder of one machine would not be seen by the others.
+    Both are shared by the driver and every executor; no folder of one machine is ever used.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    application = spark.sparkContext.applicationId
-    if application not in _local_folders:
-        _local_folders[application] = tempfile.mkdtemp(prefix="kalends-")
-    return _local_folders[application]
+    return (folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/kalends-scratch").rstrip("/")
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder as Parquet and return the written table.
+def _path(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+class Scratch:
+    """Tables written to the shared folder for as long as they are needed.
 
-    Later passes over the result all see the same rows, read only the columns they need,
-    and do not depend on executors that held the shuffle.
+    As a context manager it deletes them at the end of the block, which suits results that are
+    written inside it. Without one they stay until the application ends, which is what a lazy
+    result needs: it may be read at any time.
     """
-    path = f"{shared_folder(df.sparkSession).rstrip('/')}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.folders: list[str] = []
+
+    def folder(self, label: str) -> str:
+        """A new folder name, deleted with the scratch or when the application ends."""
+        name = f"{shared_folder(self.spark)}/{label}-{uuid.uuid4().hex}"
+        path, system = _path(self.spark, name)
+        system.deleteOnExit(path)
+        self.folders.append(name)
+        return name
+
+    def keep(self, df: DataFrame, label: str) -> DataFrame:
+        """Write ``df`` as Parquet and return the written table.
+
+        Later passes over the result all see the same rows, read only the columns they need,
+        and do not depend on executors that held the shuffle.
+        """
+        name = self.folder(label)
+        df.write.parquet(name)
+        return self.spark.read.schema(df.schema).parquet(name)
+
+    def drop(self) -> None:
+        for name in self.folders:
+            path, system = _path(self.spark, name)
+            system.delete(path, True)
+        self.folders.clear()
+
+    def __enter__(self) -> "Scratch":
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.drop()
+
+
+def materialise(df: DataFrame, label: str) -> DataFrame:
+    """``Scratch.keep`` for a lazy result: the table is deleted when the application ends."""
+    return Scratch(df.sparkSession).keep(df, label)
