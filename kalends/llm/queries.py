@@ -5,9 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from kalends.llm import quality
+from kalends.llm import codec, neardup, packing, quality, sharding, urls
 from kalends.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,3 +26,28 @@ def query(sql: str | None = None):
 @query()
 def op1_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.outlier_verdicts(table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source"))
+
+
+@query(sql=neardup.SQL)
+def op3_chosen_path_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.components(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query(sql=urls.SQL)
+def op5_digest_array_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judged(table(spark, sf_dir, "pages", "page_id", "url"))
+
+
+@query()
+def op7_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query()
+def op8_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.sharded(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query()
+def op10_forced_boundary_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codec.digests(table(spark, sf_dir, "documents", "doc_id", "text"))
