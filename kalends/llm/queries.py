@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kalends.llm import codec, neardup, packing, quality, sharding, urls
+from kalends.llm import codec, neardup, packing, quality, repeats, sharding, urls
 from kalends.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +38,11 @@ def op5_digest_array_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judged(table(spark, sf_dir, "pages", "page_id", "url"))
 
 
+@query()
+def op6_interval_tree_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.removal(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 @query()
 def op7_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents", "doc_id", "text"))
