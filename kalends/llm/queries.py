@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kalends.llm import codec, neardup, packing, quality, repeats, sharding, urls
+from kalends.llm import codec, langid, neardup, packing, quality, repeats, sharding, toxicity, urls
 from kalends.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +33,11 @@ def op3_chosen_path_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.components(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+@query()
+def op4_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "toxic"))
+
+
 @query(sql=urls.SQL)
 def op5_digest_array_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judged(table(spark, sf_dir, "pages", "page_id", "url"))
@@ -53,6 +58,11 @@ def op8_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharded(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+@query()
+def op9_chain_field_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.labelled(table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+
+
 @query()
 def op10_forced_boundary_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codec.digests(table(spark, sf_dir, "documents", "doc_id", "text"))
