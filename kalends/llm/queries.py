@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kalends.llm import codec, langid, neardup, packing, quality, repeats, sharding, toxicity, urls
+from kalends.llm import annsearch, codec, langid, neardup, packing, quality, repeats, sharding, toxicity, urls
 from kalends.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,11 @@ def op1_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.outlier_verdicts(table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source"))
 
 
+@query()
+def op2_kmeans_tree_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return annsearch.nearest(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 @query(sql=neardup.SQL)
 def op3_chosen_path_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.components(table(spark, sf_dir, "documents", "doc_id", "text"))

@@ -26,8 +26,8 @@ BITS = 20
 #: Most labelled rows of each kind that the fit reads, and most features of one of them.
 TOXIC, CLEAN = 3000, 9000
 MOST_FEATURES = 20_000
-ALPHA, BETA, L1, L2 = 0.1, 1.0, 1.0, 1.0
-EPOCHS = 4
+ALPHA, BETA, L1, L2 = 1.0, 1.0, 16.0, 0.0
+EPOCHS = 6
 THRESHOLD = 0.7
 #: Rows with this remainder of crc32(doc_id) by FOLDS are held out.
 FOLDS, HELD_OUT = 3, 1
