@@ -9,7 +9,7 @@ In each group the suffixes that start at the anchor are sorted and their common
 stack scan of these gives the tree of common-prefix intervals. Within an interval, occurrences are told apart
 by what stands to their left: those that agree on enough bytes form a maximal repeat, and all its
 occurrences are put out. Equal texts and equal contexts are counted before anything is sorted, so copies never
-meet in one task; the strings of groups with very many different contexts are counted one by one instead.
+meet in one task; groups with very many different contexts are divided by longer common strings.
 """
 
 from __future__ import annotations
@@ -29,8 +29,9 @@ from kalends.storage import Scratch
 #: Bytes that a removed string has at least, and bytes of an anchor.
 LENGTH = 400
 ANCHOR = 64
-#: Anchors with more different contexts than this have their strings counted by digest instead of sorted.
+#: Groups with more different contexts than this are divided, by bands of so many starts, one after the other.
 SORTED = 256
+BANDS = (32, 4, 1)
 #: Starts of strings handled at once in a text, which bounds the memory that a very long text takes.
 SLICE = 1 << 20
 
@@ -120,6 +121,7 @@ CONTEXT = pa.schema([
     ("anchor", pa.int64()), ("digest", pa.binary()), ("holder", pa.int64()), ("key", pa.string()),
     ("start", pa.int64()), ("left", pa.int32()), ("context", pa.binary()),
 ])
+CONTEXT_COLUMNS = "anchor long, digest binary, holder long, key string, start long, left int, context binary"
 
 
 def _contexts(texts: DataFrame) -> DataFrame:
@@ -150,7 +152,7 @@ def _contexts(texts: DataFrame) -> DataFrame:
                 if rows:
                     yield batch_of(rows)
 
-    return texts.mapInArrow(cut, "anchor long, digest binary, holder long, key string, start long, left int, context binary")
+    return texts.mapInArrow(cut, CONTEXT_COLUMNS)
 
 
 def common_prefix(x: bytes, y: bytes) -> int:
@@ -254,23 +256,52 @@ def _grouped_spans(grouped: DataFrame) -> DataFrame:
     return grouped.select(*columns).repartition("anchor").sortWithinPartitions("anchor", "key", "start").mapInArrow(scan, SPANS)
 
 
-def _counted_spans(large: DataFrame, scratch: Scratch) -> DataFrame:
-    """Spans of the strings in large groups that occur twice, every string counted by its digest."""
-    def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                part = batch.slice(at, 64)
-                digests, keys, starts = [], [], []
-                for key, start, context in zip(*(c.to_pylist() for c in part.columns)):
-                    count = len(context) - LENGTH + 1
-                    digests += [xxhash.xxh3_128_digest(context[i: i + LENGTH]) for i in range(count)]
-                    keys += [key] * count
-                    starts += range(start, start + count)
-                yield pa.record_batch([pa.array(digests, pa.binary()), pa.array(keys, pa.string()), pa.array(starts, pa.int64())], ["string", "key", "start"])
+def _banded(large: DataFrame, width: int) -> DataFrame:
+    """Contexts cut into bands of ``width`` starts, grouped by what all strings of the band have in common.
 
-    listed = scratch.keep(large.select("key", "start", "context").mapInArrow(strings, "string binary, key string, start long"), "strings")
-    often = listed.groupBy("string").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("string")
-    return listed.join(often, "string", "left_semi").select("key", "start", (F.col("start") + LENGTH).alias("end"))
+    Equal strings start equally far before the anchor, so they are in the same band and share these bytes.
+    """
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                rows = []
+                for anchor, holder, key, start, left, context in zip(*(c.to_pylist() for c in batch.slice(at, 256).columns)):
+                    nearest = left - (len(context) - LENGTH)  # the last string starts so far before the anchor
+                    for band in range(nearest // width, left // width + 1):
+                        first = left - min(left, band * width + width - 1)
+                        last = left - max(nearest, band * width)
+                        inner = context[left - band * width: left - band * width + LENGTH - width + 1] if band * width <= left else b""
+                        group = xxhash.xxh3_64_intdigest(inner, seed=(anchor + band * width) & 0xFFFFFFFFFFFFFFFF)
+                        part = context[first: last + LENGTH]
+                        rows.append((group - (1 << 63), xxhash.xxh3_128_digest(part, seed=left - first), holder, key, start + first, left - first, part))
+                yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows), CONTEXT)], schema=CONTEXT)
+
+    return large.select("anchor", "holder", "key", "start", "left", "context").mapInArrow(cut, CONTEXT_COLUMNS)
+
+
+def _spans(contexts: DataFrame, scratch: Scratch, bands: tuple[int, ...]) -> DataFrame:
+    """Spans of all strings that different texts share, from contexts.
+
+    Equal contexts are repeats as a whole. Groups of up to ``SORTED`` different ones are sorted; larger ones are
+    divided into bands, again and again, the last time of one start, where only equal strings stay together.
+    """
+    distinct = scratch.keep(
+        contexts.groupBy("anchor", "digest").agg(F.min("holder").alias("holder"), F.max("holder").alias("other")), "distinct"
+    )
+    held = distinct.where(F.col("holder") != F.col("other")).select("anchor", "digest")
+    end = F.col("start") + F.octet_length("context")
+    whole = contexts.select("anchor", "digest", "key", "start", end.alias("end")).join(held, ["anchor", "digest"], "left_semi").select("key", "start", "end")
+    if not bands:
+        return whole
+    sizes = distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    ones = distinct.drop("other").join(sizes, "anchor")
+    groups = contexts.join(ones, ["anchor", "digest", "holder"]).dropDuplicates(["anchor", "digest", "holder"])
+    groups = scratch.keep(groups.select("anchor", "holder", "key", "start", "left", "context", "size"), "groups")
+    found = whole.union(_grouped_spans(groups.where(F.col("size") <= SORTED)))
+    large = groups.where(F.col("size") > SORTED)
+    if large.isEmpty():
+        return found
+    return found.union(_spans(scratch.keep(_banded(large, bands[0]), "bands"), scratch, bands[1:]))
 
 
 def repeated_spans(documents: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
@@ -292,23 +323,9 @@ def repeated_spans(documents: DataFrame, scratch: Scratch) -> tuple[DataFrame, D
     whole_texts = keyed.join(wanted, (keyed["key"] == wanted["_key"]) & keyed["doc_id"].eqNullSafe(wanted["rep"]))
     contexts = scratch.keep(_contexts(whole_texts.select("key", "text", "shared")), "contexts")
 
-    distinct = scratch.keep(
-        contexts.groupBy("anchor", "digest").agg(F.min("holder").alias("holder"), F.max("holder").alias("other")), "distinct"
-    )
-    single = texts.where("copies = 1").select("key")
-    held = distinct.where(F.col("holder") != F.col("other")).select("anchor", "digest")
-    end = F.col("start") + F.octet_length("context")
-    whole = contexts.select("anchor", "digest", "key", "start", end.alias("end")).join(held, ["anchor", "digest"], "left_semi").select("key", "start", "end")
-    sizes = distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    ones = distinct.drop("other").join(sizes, "anchor")
-    groups = contexts.join(ones, ["anchor", "digest", "holder"]).dropDuplicates(["anchor", "digest", "holder"])
-    groups = scratch.keep(groups.select("anchor", "key", "start", "left", "context", "size"), "groups")
     own = described.where(F.size("own") > 0).select("key", F.inline("own"))
-    spans = (
-        whole.union(_grouped_spans(groups.where(F.col("size") <= SORTED)))
-        .union(_counted_spans(groups.where(F.col("size") > SORTED), scratch)).union(own)
-        .join(single, "key", "left_semi")
-    )
+    single = texts.where("copies = 1").select("key")
+    spans = _spans(contexts, scratch, BANDS).union(own).join(single, "key", "left_semi")
     rows = described.drop("anchors", "own").join(texts.select("key", "copies"), "key", "left")
     return rows, spans
 
