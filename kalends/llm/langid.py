@@ -11,6 +11,7 @@ each language with the least hashed ids. Half of the training sequences join fra
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -22,6 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kalends.llm.common import bucket_of_id
+from kalends.llm.tokens import Remembered
 
 BITS = 17
 PER_LANGUAGE = 600
@@ -37,20 +39,30 @@ REMEMBERED, AT_ONCE, LANE = 300_000, 200_000, 64
 _WORDS = re.compile(r"[^\W\d_]+")
 
 
+def _hashed(feature: str) -> int:
+    return xxhash.xxh64_intdigest(feature) >> (64 - BITS)
+
+
+#: Affixes and trigrams recur, so their hashes are remembered.
+_PART = Remembered(_hashed)
+
+
+def has_letters(word: str) -> bool:
+    return word.isalpha() or any(map(str.isalpha, word))
+
+
 def words_of(text: str | None) -> list[str]:
     return _WORDS.findall((text or "").lower())
 
 
 def features(word: str) -> list[int]:
     """Hashed features of a word; none for a word without letters."""
-    if not any(map(str.isalpha, word)):
+    if not has_letters(word):
         return []
     marked = f"^{word}$"
-    found = {"=" + word}
-    for k in (1, 2, 3):
-        found |= {"<" + word[:k], ">" + word[-k:]}
-    found |= {marked[i: i + 3] for i in range(min(len(marked) - 2, 40))}
-    return sorted({xxhash.xxh64_intdigest(f) >> (64 - BITS) for f in found})
+    parts = ["<" + word[:1], "<" + word[:2], "<" + word[:3], ">" + word[-1:], ">" + word[-2:], ">" + word[-3:]]
+    parts += [marked[i: i + 3] for i in range(min(len(marked) - 2, 40))]
+    return list({_hashed("=" + word), *map(_PART.__getitem__, parts)})
 
 
 def _normal(x: np.ndarray) -> np.ndarray:
@@ -184,20 +196,32 @@ class Labeller:
 
     def forget(self) -> None:
         self.number: dict[str, int] = {}
-        self.rows = [np.zeros(len(self.field.labels))]
+        self.new: list[str] = []
+        self.known = 1
+        self.scores = np.zeros((1024, len(self.field.labels)))
 
     def numbers(self, text: str | None) -> list[int]:
         """Rows of the score table for a text's words; words without letters have row 0."""
-        found, number = [], self.number
-        for word in words_of(text):
-            at = number.get(word)
-            if at is None:
-                hashed = features(word)
-                at = number[word] = len(self.rows) if hashed else 0
-                if hashed:
-                    self.rows.append(self.field.weights[hashed].sum(axis=0, dtype=float))
-            found.append(at)
-        return found
+        words, number = words_of(text), self.number
+        for word in set(words).difference(number):
+            number[word] = 0
+            if has_letters(word):
+                number[word] = self.known + len(self.new)
+                self.new.append(word)
+        return list(map(number.__getitem__, words))
+
+    def _learn(self) -> None:
+        """Score the words that are new since the last call."""
+        if not self.new:
+            return
+        hashed = [features(word) for word in self.new]
+        begins = np.concatenate([[0], np.cumsum([len(f) for f in hashed])[:-1]])
+        ids = np.fromiter(itertools.chain.from_iterable(hashed), np.int64)
+        last = self.known + len(self.new)
+        if last > len(self.scores):
+            self.scores = np.concatenate([self.scores, np.zeros((max(last, len(self.scores)), self.scores.shape[1]))])
+        self.scores[self.known: last] = np.add.reduceat(self.field.weights[ids], begins, axis=0)
+        self.known, self.new = last, []
 
     def __call__(self, texts: list[str | None]) -> list[tuple[str, float]]:
         out: list[tuple[str, float]] = []
@@ -209,17 +233,18 @@ class Labeller:
             if words >= AT_ONCE:
                 out += self._labelled(waiting)
                 waiting, words = [], 0
-                if len(self.rows) > REMEMBERED:
+                if self.known > REMEMBERED:
                     self.forget()
         return out + self._labelled(waiting)
 
     def _labelled(self, texts: list[np.ndarray]) -> list[tuple[str, float]]:
+        self._learn()
         texts_ = [t[t > 0] for t in texts]
         sizes = np.array([len(t) for t in texts_], np.int64)
         out = [(UNDETERMINED, 0.0)] * len(texts)
         full = np.flatnonzero(sizes)
         if len(full):
-            scores = np.array(self.rows)[np.concatenate([texts_[k] for k in full])]
+            scores = self.scores[np.concatenate([texts_[k] for k in full])]
             begins = np.concatenate([[0], np.cumsum(sizes[full])[:-1]])
             firsts = np.zeros(len(scores), bool)
             firsts[begins] = True

@@ -10,9 +10,6 @@ stored string is the candidate itself.
 from __future__ import annotations
 
 import mmap
-import os
-import tempfile
-import uuid
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -24,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kalends.llm.common import lower_ascii
+from kalends.storage import Scratch
 
 #: The rules of the registered query: verdict and rule.
 RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
@@ -32,7 +30,7 @@ RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org
 OTHERWISE = "allow"
 
 #: Most bytes of rules put into one file for every executor; larger rule tables are joined instead.
-LARGEST_FILE = 1 << 30
+LARGEST_FILE = 1 << 26
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -112,12 +110,13 @@ def _shared_file(spark: SparkSession, rules: list[tuple[str, str]]) -> str:
     data = digest_file(rules)
     if len(data) > LARGEST_FILE:
         raise ValueError(f"{len(data)} bytes of rules; use judged_by_join for more than {LARGEST_FILE}")
-    name = f"rules-{uuid.uuid4().hex}"
-    with tempfile.TemporaryDirectory() as folder:
-        with open(os.path.join(folder, name), "wb") as file:
-            file.write(data)
-        spark.sparkContext.addFile(os.path.join(folder, name))
-    return name
+    shared = Scratch(spark).folder("rules")  # fetched by executors at any time until the application ends
+    path = spark._jvm.org.apache.hadoop.fs.Path(shared)
+    stream = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path)
+    stream.write(bytearray(data))
+    stream.close()
+    spark.sparkContext.addFile(shared)
+    return shared.rsplit("/", 1)[1]
 
 
 def judged(pages: DataFrame, rules: list[tuple[str, str]] = RULES, otherwise: str = OTHERWISE) -> DataFrame:
