@@ -14,7 +14,7 @@ from functools import lru_cache
 
 import numpy as np
 
-#: Pieces remembered per worker before the dictionary is emptied, and the longest piece remembered.
+#: Pieces remembered per worker, and the longest piece remembered.
 REMEMBERED = 400_000
 LONGEST = 64
 
@@ -24,17 +24,26 @@ _UNUSUAL = re.compile("[^\x00-\x1b\x20-ɏ]")
 
 
 class Remembered(dict):
-    """A dictionary that computes what it lacks and never outgrows ``REMEMBERED`` entries."""
+    """A dictionary that computes what it lacks and never outgrows ``REMEMBERED`` entries.
+
+    It fills up to half of that, becomes the older generation and starts anew; what is asked for again
+    moves on, so common pieces stay.
+    """
 
     def __init__(self, compute: Callable[[str], object]):
         self.compute = compute
+        self.older: dict = {}
 
     def __missing__(self, piece: str):
-        value = self.compute(piece)
-        if len(piece) <= LONGEST:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[piece] = value
+        if len(piece) > LONGEST:
+            return self.compute(piece)
+        value = self.older.get(piece)
+        if value is None:
+            value = self.compute(piece)
+        if len(self) >= REMEMBERED // 2:
+            self.older = dict(self)
+            self.clear()
+        self[piece] = value
         return value
 
 
@@ -86,14 +95,19 @@ class ForcedBoundaries:
             if len(token) > 1:
                 row = np.frombuffer(token, dtype=np.uint8)
                 self.joined[row[:-1], row[1:]] = True
+        self.rows = [row.tobytes() for row in self.joined]
+
+    def cuts(self, word: bytes) -> list[int]:
+        """Where the word is cut, without its two ends."""
+        if len(word) > LONGEST:
+            row = np.frombuffer(word, dtype=np.uint8)
+            return (np.flatnonzero(~self.joined[row[:-1], row[1:]]) + 1).tolist()
+        rows = self.rows
+        return [at for at, (a, b) in enumerate(zip(word, word[1:]), 1) if not rows[a][b]]
 
     def fragments(self, word: bytes) -> list[bytes]:
-        if len(word) < 2:
-            return [word] if word else []
-        row = np.frombuffer(word, dtype=np.uint8)
-        ends = np.flatnonzero(~self.joined[row[:-1], row[1:]]) + 1
-        bounds = [0, *ends.tolist(), len(word)]
-        return [word[a:b] for a, b in zip(bounds, bounds[1:])]
+        bounds = [0, *self.cuts(word), len(word)]
+        return [word[a:b] for a, b in zip(bounds, bounds[1:])] if word else []
 
 
 def byte_alphabet() -> list[str]:
@@ -125,6 +139,7 @@ class WordEndCodec:
         self.specials = {t["content"]: t["id"] for t in described["added_tokens"]}
         self.special_split = re.compile("(" + "|".join(map(re.escape, self.specials)) + ")") if self.specials else None
         self.alphabet = byte_alphabet()
+        self.bytes_of = {i: id_bytes([i]) for i in self.token_of}
         byte_of = {c: b for b, c in enumerate(self.alphabet)}
         stripped = (t.removesuffix(self.END) for t in vocabulary)
         self.boundaries = ForcedBoundaries([bytes(byte_of[c] for c in t) for t in stripped if all(c in byte_of for c in t)])
@@ -132,30 +147,36 @@ class WordEndCodec:
         self.inside = models.BPE(vocab=vocabulary, merges=merges)
         pattern = described["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"].replace(r"\s", r"\p{White_Space}")
         self.words_of = regex.compile(pattern).findall
-        self.last_fragment = Remembered(lambda f: [t.id for t in self.ending.tokenize(f)])
-        self.inner_fragment = Remembered(lambda f: [t.id for t in self.inside.tokenize(f)])
+        self.last_fragment = Remembered(lambda f: self._result([t.id for t in self.ending.tokenize(f)]))
+        self.inner_fragment = Remembered(lambda f: self._result([t.id for t in self.inside.tokenize(f)]))
         self.piece = Remembered(self._encode_piece)
 
-    def _encode_word(self, word: bytes) -> list[int]:
-        fragments = ["".join(self.alphabet[b] for b in f) for f in self.boundaries.fragments(word)]
-        ids: list[int] = []
-        for fragment in fragments[:-1]:
-            ids += self.inner_fragment[fragment]
-        for fragment in fragments[-1:]:
-            ids += self.last_fragment[fragment]
-        return ids
+    def _encode_word(self, word: bytes) -> list[tuple[bytes, str]]:
+        """Ids and tokens of every fragment of a word."""
+        letters = word.decode("latin-1").translate(self.alphabet)
+        results, start = [], 0
+        for cut in self.boundaries.cuts(word):
+            results.append(self.inner_fragment[letters[start:cut]])
+            start = cut
+        results.append(self.last_fragment[letters[start:]])
+        return results
 
     def _result(self, ids: list[int]) -> tuple[bytes, str]:
-        return id_bytes(ids), "".join(self.token_of[i] + " " for i in ids)
+        """The ids as bytes, and the tokens each followed by a blank."""
+        return b"".join([self.bytes_of[i] for i in ids]), "".join([self.token_of[i] + " " for i in ids])
+
+    @staticmethod
+    def _joined(results: list[tuple[bytes, str]]) -> tuple[bytes, str]:
+        return results[0] if len(results) == 1 else (b"".join([r[0] for r in results]), "".join([r[1] for r in results]))
 
     def _encode_piece(self, piece: str) -> tuple[bytes, str]:
         """Ids, and the tokens each followed by a blank, of a lower-case piece without white space."""
-        return self._result([i for word in self.words_of(piece) for i in self._encode_word(word.encode())])
+        return self._joined([f for word in self.words_of(piece) for f in self._encode_word(word.encode())])
 
     def _encode_unusual(self, text: str) -> tuple[bytes, str]:
         byte_of = {c: b for b, c in enumerate(self.alphabet)}
         words = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
-        return self._result([i for word, _ in words for i in self._encode_word(bytes(byte_of[c] for c in word))])
+        return self._joined([f for word, _ in words for f in self._encode_word(bytes(byte_of[c] for c in word))])
 
     def encode(self, text: str) -> tuple[bytes, str]:
         """The ids as bytes, and the decoded text."""
@@ -168,7 +189,8 @@ class WordEndCodec:
                 results.append(self._encode_unusual(part))
             else:
                 results += map(self.piece.__getitem__, part.lower().split())
-        return b"".join([r[0] for r in results]), "".join([r[1] for r in results])[:-1]
+        ids, tokens = self._joined(results)
+        return ids, tokens[:-1]
 
 
 @lru_cache(maxsize=None)
