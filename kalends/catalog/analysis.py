@@ -195,6 +195,21 @@ def days_without_sales_by_year(spark, sf_dir):
     )
 
 
+@query(f"""WITH {CAL}, {LINES}, span AS (SELECT year(d) AS y, date_diff('day', min(d), max(d)) + 1 AS n FROM cal GROUP BY 1),
+sold AS (SELECT l_partkey, year(lines.d) AS y, lines.d FROM lines),
+per AS (SELECT p_name, y, count(DISTINCT d) AS n FROM sold JOIN part ON p_partkey = l_partkey GROUP BY 1, 2)
+SELECT p.p_name AS producto, span.y AS year, coalesce(per.n, 0) AS purchase_days,
+       span.n - coalesce(per.n, 0) AS days_without_purchase
+FROM (SELECT DISTINCT p_name FROM part) p CROSS JOIN span
+LEFT JOIN per ON per.p_name = p.p_name AND per.y = span.y""")
+def days_without_sales_by_product_year(spark, sf_dir):
+    """A row for every product and year, also for years in which the product was not sold."""
+    star = sales_star(spark, sf_dir, ["Dim_Producto"], ["Year"], territory=False)
+    return days_without_purchase(star, order_calendar(spark, sf_dir, "Date", "Year"), ["Producto"], ["Year"]).select(
+        F.col("Producto").alias("producto"), whole("Year", "year"), whole("purchase_days"), whole("days_without_purchase")
+    )
+
+
 @query(f"""WITH {LINES} SELECT CAST(d AS VARCHAR) AS date, CAST(sum(amount) AS DOUBLE) AS sales
 FROM lines WHERE d BETWEEN DATE '1997-11-15' AND DATE '1998-02-15' GROUP BY 1""")
 def sales_between_dates(spark, sf_dir):

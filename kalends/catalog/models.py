@@ -36,7 +36,7 @@ SELECT l_orderkey AS sales_order_id, CAST(l_linenumber AS BIGINT) AS line_id, CA
        l_partkey AS product_id, p_name AS producto, CAST(p_retailprice AS DOUBLE) AS list_price,
        p_brand AS subcategoria, p_type AS categoria, -1 - l_suppkey AS vendedor_id,
        replace(s_name, '#', ' ') AS nombre_vendedor, CAST(l_quantity AS BIGINT) AS order_qty,
-       {_UNIT_PRICE} AS unit_price, abs(l_discount) AS unit_price_discount, CAST(amount AS DOUBLE) AS line_total
+       {_UNIT_PRICE} AS unit_price, l_discount AS unit_price_discount, CAST(amount AS DOUBLE) AS line_total
 FROM lines JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = t JOIN part ON p_partkey = l_partkey
 LEFT JOIN supplier ON s_suppkey = l_suppkey""")
 def flat_sales(spark, sf_dir):
@@ -124,7 +124,7 @@ SELECT l_orderkey AS sales_order_number, CAST(l_linenumber AS BIGINT) AS line_nu
        CAST(strftime(d, '%Y%m%d') AS BIGINT) AS fecha_key, o_custkey AS cliente_key,
        CAST(t AS BIGINT) AS territorio_key, l_partkey AS producto_key, -1 - l_suppkey AS vendedor_key,
        CAST(l_quantity AS BIGINT) AS order_qty, {_UNIT_PRICE} AS unit_price,
-       abs(l_discount) AS unit_price_discount, CAST(amount AS DOUBLE) AS line_total
+       l_discount AS unit_price_discount, CAST(amount AS DOUBLE) AS line_total
 FROM lines""")
 def fact_sales(spark, sf_dir):
     """The whole star fact: keys and amounts only."""
@@ -268,7 +268,7 @@ def global_line_numbers(spark, sf_dir):
 _DEALT = f"""{LINES},
 numbered AS (
   SELECT *, row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, CAST(l_quantity AS BIGINT),
-                               {_UNIT_PRICE}, abs(l_discount), l_shipdate) AS n FROM lines),
+                               {_UNIT_PRICE}, l_discount, l_shipdate) AS n FROM lines),
 sellers AS (
   SELECT s_suppkey, s_name, row_number() OVER (ORDER BY s_suppkey) AS slot, count(*) OVER () AS k
   FROM supplier WHERE s_acctbal > 0),

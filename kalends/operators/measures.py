@@ -139,18 +139,39 @@ def values_of(star: Star, column: str) -> DataFrame:
     return dimension.rows.select(column).unionByName(blank).distinct()
 
 
+def _groups(star: Star, by: list[str], bought: DataFrame) -> DataFrame:
+    """The groups that ``by`` can name: all members of its dimension, and what the sales name besides."""
+    named = bought.select(*[F.col(f"`{c}`") for c in by])
+    owners = {star.owner_of(c) for c in by}
+    owner = owners.pop() if len(owners) == 1 else None
+    if owner is not None:
+        named = star.dimensions[owner].rows.select(*[F.col(f"`{c}`") for c in by]).unionByName(named)
+    return named.distinct()
+
+
 def days_without_purchase(star: Star, calendar: DataFrame, by: list[str], periods: list[str]) -> DataFrame:
     """Calendar days on which a group bought nothing, counted over the calendar and not over the sales.
 
     ``periods`` are columns of ``calendar``: each period spans its own first to last day. A
-    period in which nobody bought counts in full when there is no other grouping.
+    period in which nobody bought counts in full. Columns of one dimension give a row for each
+    of its members in every period, bought or not; columns of several tables, or of the fact, give one
+    for each combination that was ever sold.
     """
     bought = evaluate(star, [*by, *periods], ["purchase_days"])
     span = calendar.groupBy(*periods).agg((F.datediff(F.max("Date"), F.min("Date")) + 1).alias("calendar_days"))
-    if not periods:
-        joined = bought.withColumn("calendar_days", span.scalar())
+    if not by:
+        joined = span.join(bought, periods, "left") if periods else bought.withColumn("calendar_days", span.scalar())
     else:
-        joined = span.join(bought, periods, "inner" if by else "left").fillna(0, ["purchase_days"])
+        # Periods are bounded by the calendar's days: one array of them, read off beside every group.
+        spans = span.agg(F.collect_list(F.struct(*[F.col(f"`{c}`") for c in span.columns])))
+        wanted = _groups(star, by, bought).withColumn("_span", F.explode(spans.scalar())).select(
+            *[F.col(f"`{c}`") for c in by], "_span.*"
+        )
+        keys = [*by, *periods]
+        found = bought.select(*[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(keys)], "purchase_days")
+        same = [wanted[f"`{c}`"].eqNullSafe(found[f"_{i}"]) for i, c in enumerate(keys)]
+        joined = wanted.join(found, same, "left")
+    joined = joined.fillna(0, ["purchase_days"])
     return joined.select(
         *by, *periods, "purchase_days",
         (F.col("calendar_days") - F.col("purchase_days")).alias("days_without_purchase"),

@@ -47,11 +47,16 @@ def flat_from_order_entry(t: Tables) -> DataFrame:
         broadcast_if_small(territories, t["territories"]), "TerritoryID"
     )
     products = flatten_products(t["products"], t["subcategories"], t["categories"])
-    sellers = person_names(t["people"], "SalesPersonID", "NombreVendedor")
+    # People grow with the customers, sellers do not: only those who can match are kept and counted.
+    selling = t["sellers"].select(F.col("BusinessEntityID")).distinct() if "sellers" in t else (
+        t["lines" if "SalesPersonID" in t["lines"].columns else "headers"]
+        .select(F.col("SalesPersonID").alias("BusinessEntityID")).distinct()
+    )
+    sellers = person_names(t["people"].join(selling, "BusinessEntityID", "left_semi"), "SalesPersonID", "NombreVendedor")
     return (
         join_growing(t["lines"], orders, "SalesOrderID")
         .join(broadcast_if_small(products, t["products"]), "ProductID")
-        .join(broadcast_if_small(sellers, t["people"]), "SalesPersonID", "left")
+        .join(broadcast_if_small(sellers, selling), "SalesPersonID", "left")
         .select(
             "SalesOrderID", "SalesOrderDetailID", "OrderDate",
             *[c for c in ("DueDate", "ShipDate") if c in t["headers"].columns + t["lines"].columns],

@@ -40,8 +40,8 @@ def _line_amounts() -> dict:
     price = F.col("l_extendedprice").cast("decimal(15,2)")
     return {
         "OrderQty": F.col("l_quantity").cast("long"),
-        "UnitPrice": (price / F.col("l_quantity").cast("decimal(10,0)")).cast(MONEY),
-        "UnitPriceDiscount": F.abs("l_discount"),
+        "UnitPrice": F.try_divide(price, F.col("l_quantity").cast("decimal(10,0)")).cast(MONEY),
+        "UnitPriceDiscount": F.col("l_discount"),
         "LineTotal": (price * (F.lit(1) - F.col("l_discount").cast("decimal(4,2)"))).cast(MONEY),
     }
 

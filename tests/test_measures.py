@@ -103,7 +103,17 @@ def test_days_without_purchase(star):
     assert rows(days_without_purchase(star, calendar, [], ["Year"])) == {(2024, 2, 364), (2025, 1, 364)}
     assert rows(days_without_purchase(star, calendar, ["Territorio"], [])) == {("N", 2, 729), ("S", 1, 730)}
     assert rows(days_without_purchase(star, calendar, ["Territorio"], ["Year"])) == {
-        ("N", 2024, 1, 365), ("N", 2025, 1, 364), ("S", 2024, 1, 365)
+        ("N", 2024, 1, 365), ("N", 2025, 1, 364), ("S", 2024, 1, 365), ("S", 2025, 0, 365)
+    }
+    # A product that was never sold, and the blank product that was sold in both years.
+    assert rows(days_without_purchase(star, calendar, ["Categoria"], ["Year"])) == {
+        ("A", 2024, 2, 364), ("A", 2025, 0, 365), ("B", 2024, 1, 365), ("B", 2025, 0, 365),
+        ("C", 2024, 0, 366), ("C", 2025, 0, 365), (None, 2024, 1, 365), (None, 2025, 1, 364),
+    }
+    assert ("C", 0, 731) in rows(days_without_purchase(star, calendar, ["Categoria"], []))
+    assert rows(days_without_purchase(star, calendar, ["Categoria", "Grupo"], ["Year"])) == {
+        (c, "G", y, n, (366 if y == 2024 else 365) - n)
+        for c, y, n in [("A", 2024, 2), ("A", 2025, 0), ("B", 2024, 1), ("B", 2025, 0), (None, 2024, 1), (None, 2025, 1)]
     }
 
 

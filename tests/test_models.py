@@ -240,3 +240,11 @@ def test_date_columns(spark):
     got = {r["column"]: (r["related"], r["dated_rows"], r["in_calendar"], r["unknown_days"])
            for r in date_coverage(tables, calendar, {("a", "t")}).collect()}
     assert got == {"t": (True, 1, 1, 0), "d": (False, 2, 1, 1)}
+
+
+def test_sellers_are_broadcast_though_people_are_many(spark, entry, monkeypatch):
+    from kalends.operators import joins
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 2)  # three people, one seller
+    plan = flat_plans.flat_from_order_entry(entry)._jdf.queryExecution().optimizedPlan().toString()
+    hinted = [line for line in plan.splitlines() if "Join LeftOuter, (SalesPersonID" in line]
+    assert hinted and all("rightHint=(strategy=broadcast)" in line for line in hinted), plan
