@@ -201,9 +201,10 @@ def _concentrate(good: DataFrame, estimates: DataFrame) -> DataFrame:
     """One concentration step: mean and covariance of the nearest ``COVERED`` share of each group."""
     d = len(NAMES)
     far = _with_distance(good, estimates).where(F.col("distance").isNotNull())
-    limits = far.groupBy(*KEY).agg(
+    # Written first, so that Spark knows its size and broadcasts it while it is small; documents then stay in place.
+    limits = materialise(far.groupBy(*KEY).agg(
         F.percentile_approx("distance", COVERED, 10000).alias("_limit"), F.count(F.lit(1)).alias("group_rows")
-    ).select(F.col("_lang").alias("k_lang"), F.col("_source").alias("k_source"), "_limit", "group_rows")
+    ).select(F.col("_lang").alias("k_lang"), F.col("_source").alias("k_source"), "_limit", "group_rows"), "mcd-limits")
     near = far.join(limits, (F.col("_lang") == F.col("k_lang")) & (F.col("_source") == F.col("k_source"))).where(
         F.col("distance") <= F.col("_limit")
     )
