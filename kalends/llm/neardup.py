@@ -6,6 +6,11 @@ further tokens, small nodes are compared exhaustively, and independent trees are
 threshold is missed with negligible probability. Pairs whose tokens agree often enough are confirmed on the
 full shingle sets, and confirmed links are contracted to connected components.
 
+Nodes that no branching has made small hold large families of different copies. Families that share such a node are
+one cluster. Links to its most typical member connect most of a cluster; what they leave apart is compared on the
+full sets, every member of a cluster with every other one of another component, in tasks of two blocks each. The
+work of that last step grows with the size of the cluster times the number of its members left apart.
+
 Documents with equal sets are one member of the join, so groups of copies cost one comparison, however large.
 """
 
@@ -34,6 +39,10 @@ TREES = 16
 NODE = 64
 CHILDREN = 2
 LEVELS = 4
+#: Members to a block where what is left of a cluster is compared; a task holds two blocks of full sets.
+BLOCK = 256
+#: Shingles of a task that are counted at a time.
+COLUMNS = 2048
 #: Equal tokens (of 32) that make a pair a candidate. A pair at similarity 0.75 has 24 on average and stays below
 #: 13 with a probability of about 1e-5.
 AGREEING = 13
@@ -114,19 +123,13 @@ def _branches(large: DataFrame, members: DataFrame) -> DataFrame:
     return large.join(members, "member").select("member", F.explode(F.array(*child)).alias("path"))
 
 
-def _blocks(large: DataFrame) -> DataFrame:
-    """Nodes that no branching has made small, dealt to blocks of about NODE members by a hash."""
-    block = F.pmod(F.xxhash64("member", "path"), F.ceil(2 * F.col("size") / NODE))
-    return large.select("member", F.xxhash64("path", F.lit(-1), block).alias("path"))
-
-
-def _grown_nodes(members: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """(member, path) of every small node, and (member, pivot) of every large one.
+def _grown_nodes(members: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """(member, path) of every small node, (member, pivot) of every large one, (member, path) of those left large.
 
     The pivot of a large node is one of its members; whoever resembles it is linked through it, so that a big
     group of near copies is connected by as many pairs as it has members.
     """
-    nodes, small, stars = _roots(members), [], []
+    nodes, small, stars, left = _roots(members), [], [], None
     for level in range(LEVELS + 1):
         sizes = nodes.groupBy("path").agg(
             F.count(F.lit(1)).alias("size"), F.min_by("member", F.xxhash64("member", "path")).alias("pivot")
@@ -138,10 +141,127 @@ def _grown_nodes(members: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataF
             break
         stars.append(large.where(F.col("member") != F.col("pivot")).select("member", "pivot"))
         if level == LEVELS:
-            small.append(_blocks(large))
+            left = large.select("member", "path")
         nodes = _branches(large.select("member", "path"), members)
     none = members.select("member", F.col("member").alias("pivot")).limit(0)
-    return reduce(DataFrame.union, small), reduce(DataFrame.union, stars, none).distinct()
+    return reduce(DataFrame.union, small), reduce(DataFrame.union, stars, none).distinct(), left
+
+
+def _popular(stars: DataFrame) -> DataFrame:
+    """Each member with that of its pivots that has the most members."""
+    sizes = stars.groupBy("pivot").agg(F.count(F.lit(1)).alias("n"))
+    return stars.join(sizes, "pivot").groupBy("member").agg(F.max(F.struct("n", "pivot"))["pivot"].alias("pivot"))
+
+
+def _clusters(left: DataFrame, roots: DataFrame, scratch: Scratch) -> DataFrame | None:
+    """(member, cluster) of the members of nodes that hold several components; None without such nodes.
+
+    Nodes with a member in common are one cluster.
+    """
+    placed = left.join(roots, "member", "left").select("path", "member", F.coalesce("root", "member").alias("component"))
+    mixed = placed.groupBy("path").agg(
+        F.min("member").alias("first"), F.min("component").alias("low"), F.max("component").alias("high")
+    ).where(F.col("low") != F.col("high"))
+    links = scratch.keep(left.join(mixed, "path").select(F.col("member").alias("a"), F.col("first").alias("b")).distinct(), "left")
+    if links.isEmpty():
+        return None
+    return scratch.keep(
+        links.select(F.col("a").alias("member")).distinct().join(connected(links, scratch), "member", "left")
+        .select("member", F.coalesce("root", "member").alias("cluster")), "clusters"
+    )
+
+
+def _typical(clusters: DataFrame, members: DataFrame) -> DataFrame:
+    """(member, pivot): the pivot of a cluster has the most tokens that are the most frequent at their place."""
+    tokens = clusters.join(members, "member").select("cluster", "member", F.posexplode("tokens").alias("place", "token"))
+    usual = (
+        tokens.groupBy("cluster", "place", "token").agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("cluster", "place").agg(F.max(F.struct("n", "token"))["token"].alias("token"))
+    )
+    shared = tokens.join(usual, ["cluster", "place", "token"]).groupBy("cluster", "member").agg(F.count(F.lit(1)).alias("n"))
+    pivots = shared.groupBy("cluster").agg(F.max(F.struct("n", F.col("member").alias("m")))["m"].alias("pivot"))
+    return clusters.join(pivots, "cluster").where(F.col("member") != F.col("pivot")).select("member", "pivot")
+
+
+def _apart(clusters: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members of clusters with several components, dealt to pairs of blocks: (member, component, path).
+
+    Blocks of the largest component meet the blocks of the other members, and these meet each other, so every two
+    members of different components meet in a path.
+    """
+    placed = clusters.join(roots, "member", "left").select("member", "cluster", F.coalesce("root", "member").alias("component"))
+    largest = (
+        placed.groupBy("cluster", "component").agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("cluster").agg(F.max(F.struct("n", "component")).alias("_most"), F.sum("n").alias("_all"))
+        .where(F.col("_all") > F.col("_most.n"))
+        .select(
+            "cluster", F.col("_most.component").alias("_largest"),
+            F.ceil(F.col("_most.n") / BLOCK).alias("_inner"), F.ceil((F.col("_all") - F.col("_most.n")) / BLOCK).alias("_outer"),
+        )
+    )
+    dealt = placed.join(largest, "cluster").withColumn("_is_inner", F.col("component") == F.col("_largest")).withColumn(
+        "_block", F.pmod(F.xxhash64("member"), F.when(F.col("_is_inner"), F.col("_inner")).otherwise(F.col("_outer")))
+    )
+    numbers = lambda n: F.sequence(F.lit(0).cast("long"), n - 1)
+    path = lambda kind, x, y: F.xxhash64("cluster", F.lit(kind), x, y)
+    own = F.col("_block")
+    met = F.when(F.col("_is_inner"), F.transform(numbers(F.col("_outer")), lambda k: path(0, k, own))).otherwise(F.concat(
+        F.transform(numbers(F.col("_inner")), lambda k: path(0, own, k)),
+        F.transform(F.filter(numbers(F.col("_outer")), lambda k: k != own), lambda k: path(1, F.least(k, own), F.greatest(k, own))),
+    ))
+    return dealt.select("member", "component", F.explode(met).alias("path"))
+
+
+def _links_between(ids: list[int], components: list[int], sets: list[np.ndarray]) -> Iterator[tuple[int, int]]:
+    """Links that join the components of the given sets as far as any pair at the threshold does."""
+    sizes = np.array([len(s) for s in sets])
+    owners, values = np.repeat(np.arange(len(sets)), sizes), np.concatenate(sets)
+    order = np.argsort(values, kind="stable")
+    owners, values = owners[order], values[order]
+    new = np.append(True, values[1:] != values[:-1])
+    columns = np.cumsum(new) - 1
+    held = np.bincount(columns)[columns] > 1
+    owners = owners[held]
+    columns = np.cumsum(new[held]) - 1
+    both = np.zeros((len(sets), len(sets)))
+    for low in range(0, int(columns[-1]) + 1 if len(columns) else 0, COLUMNS):
+        x, y = np.searchsorted(columns, (low, low + COLUMNS))
+        has = np.zeros((len(sets), COLUMNS), np.float32)
+        has[owners[x:y], columns[x:y] - low] = 1
+        both += has @ has.T
+    linked = np.triu(100 * both >= SIMILAR_TO * (sizes[:, None] + sizes[None, :] - both), 1)
+    group = np.array(components)
+    while True:
+        pairs = np.argwhere(linked & (group[:, None] != group[None, :]))
+        if not len(pairs):
+            return
+        for i, j in pairs:
+            if group[i] != group[j]:
+                yield ids[i], ids[j]
+                group[group == group[j]] = group[i]
+
+
+def _joined(apart: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b): links on the full sets between members that meet in a path, enough to connect all that are linked."""
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        path, ids, components, held = None, [], [], []
+
+        def links():
+            found = list(_links_between(ids, components, held)) if len(set(components)) > 1 else []
+            return pa.record_batch([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], ["a", "b"])
+
+        for batch in batches:
+            for at, member, component, shingles in zip(*(batch.column(k) for k in range(4))):
+                if at.as_py() != path:
+                    yield links()
+                    path, ids, components, held = at.as_py(), [], [], []
+                ids.append(member.as_py())
+                components.append(component.as_py())
+                held.append(np.frombuffer(shingles.as_py(), np.uint64))
+        yield links()
+
+    carried = apart.join(sets, "member").select("path", "member", "component", "shingles")
+    return carried.repartition("path").sortWithinPartitions("path").mapInArrow(compare, "a long, b long").distinct()
 
 
 def _compared(nodes: DataFrame, members: DataFrame) -> DataFrame:
@@ -158,9 +278,7 @@ def _compared(nodes: DataFrame, members: DataFrame) -> DataFrame:
                 if high - low < 2:
                     continue
                 t, m = tokens[low:high], ids[low:high]
-                agreeing = (t[:, None, :] == t[None, :, :]).sum(axis=2) if high - low <= 2 * NODE else None
-                if agreeing is None:  # a block dealt by hash may be larger than planned: a row at a time
-                    agreeing = np.stack([(t == row).sum(axis=1) for row in t])
+                agreeing = (t[:, None, :] == t[None, :, :]).sum(axis=2)
                 i, j = np.nonzero(np.triu(agreeing >= AGREEING, 1))
                 different = m[i] != m[j]
                 i, j = i[different], j[different]
@@ -263,8 +381,9 @@ def connected(links: DataFrame, scratch: Scratch) -> DataFrame:
 def components(documents: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every document.
 
-    Confirmation runs twice: first each member's most alike candidate, which connects most of every
-    group, then all candidates that still join different components.
+    Confirmation runs twice: first each member's most alike candidate and its most popular pivot, and the typical
+    member of what large nodes leave apart, which connects most of every group, then all candidates that still join
+    different components. Clusters that still hold several components are compared on the full sets.
 
     Defined cases: a null, empty or blank text has an empty set and is linked with nothing; under five words
     the whole sequence is one shingle; rows with equal sets are linked; repeated rows get equal results; a
@@ -280,7 +399,7 @@ def components(documents: DataFrame) -> DataFrame:
         "members",
     )
     described = members.select("member", "tokens")
-    small, stars = _grown_nodes(described, scratch)
+    small, stars, left = _grown_nodes(described, scratch)
     candidates = scratch.keep(
         _compared(small, described).union(_starred(stars, described)).groupBy("a", "b").agg(F.max("agreeing").alias("agreeing")), "candidates"
     )
@@ -295,8 +414,17 @@ def components(documents: DataFrame) -> DataFrame:
     nearest = ends.groupBy("one").agg(best.alias("x")).select(
         F.least("one", "x.other").alias("a"), F.greatest("one", "x.other").alias("b")
     ).distinct()
+    if left is not None:
+        nearest = nearest.union(_starred(_popular(stars), described).select("a", "b")).distinct()
     links = scratch.keep(_confirmed(nearest, sets), "links")
     roots = connected(links, scratch)
+    clusters = None if left is None else _clusters(left, roots, scratch)
+    if clusters is not None:
+        texts = documents.withColumnRenamed("doc_id", "member").join(clusters.select("member").join(members.drop("tokens"), "member"), "member")
+        whole = scratch.keep(shingle_sets(texts).distinct(), "sets")
+        typical = _starred(_typical(clusters, described), described)
+        links = links.union(scratch.keep(_confirmed(typical, whole), "links"))
+        roots = connected(links, scratch)
 
     root_of = lambda end: roots.select(F.col("member").alias(end), F.col("root").alias(f"root_{end}"))
     apart = (
@@ -304,8 +432,12 @@ def components(documents: DataFrame) -> DataFrame:
         .join(root_of("a"), "a", "left").join(root_of("b"), "b", "left")
         .where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
     )
-    more = scratch.keep(_confirmed(apart, sets), "links")
-    final = connected(links.union(more), scratch)
+    links = links.union(scratch.keep(_confirmed(apart, sets), "links"))
+    final = connected(links, scratch)
+    if clusters is not None:
+        rest = scratch.keep(_apart(clusters, final), "apart")
+        if not rest.isEmpty():
+            final = connected(links.union(scratch.keep(_joined(rest, whole), "links")), scratch)
 
     labels = members.join(final, "member", "left").select("set_key", F.coalesce("root", "member").alias("_root"))
     labelled = rows.drop("tokens").join(labels, "set_key", "left")

@@ -1,5 +1,6 @@
 """Operators without learning: against the libraries, brute force and laws that every result obeys; the pipeline."""
 
+import collections
 import hashlib
 import zlib
 
@@ -138,6 +139,31 @@ def test_near_duplicates_of_odd_rows(spark):
     assert neardup.components(df.limit(0)).collect() == []
 
 
+def test_large_families_of_different_copies(spark):
+    """A hub with thousands of spokes, and pairs in a family without one, that resemble each other at 0.75 to 0.8 only."""
+    rng = np.random.default_rng(8)
+    def edited(base, n):
+        copy = list(base)
+        for at in rng.choice(38, n, replace=False) * 5 + 4:
+            copy[at] = f"e{rng.integers(1 << 60)}"
+        return copy
+    hub, other = [f"h{k}" for k in range(200)], [f"o{k}" for k in range(200)]
+    firsts = [edited(other, 5) for _ in range(500)]
+    texts = [hub, *[edited(hub, 5) for _ in range(2500)], *firsts, *[edited(first, 5) for first in firsts]]
+    sets = [{" ".join(t[k: k + 5]) for k in range(196)} for t in texts]
+    held = collections.Counter(x for s in sets for x in s)
+    number = {s: k for k, s in enumerate(s for s in held if held[s] > 1)}
+    root, has = np.arange(len(sets)), np.zeros((len(sets), len(number)), np.float32)
+    for i, s in enumerate(sets):
+        has[i, [number[x] for x in s if x in number]] = 1
+    both = has @ has.T
+    for i, j in np.argwhere(100 * both >= 75 * (2 * 196 - both)):
+        root[root == max(root[i], root[j])] = min(root[i], root[j])
+    out = neardup.components(spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")).collect()
+    assert (root == 0).sum() == 2501 and len(set(root.tolist())) >= 400
+    assert {r.doc_id: r.component_id for r in out} == dict(enumerate(root.tolist()))
+
+
 def test_urls_of_odd_rows(spark):
     rows = [(1, None), (2, ""), (3, "no scheme"), (4, "http://A.Example.ORG/es/x?y"), (5, "http://com"), (6, "http://x.com/de/#a"), (6, "http://x.com/de/#a"), (7, "a://b.org/" + "p" * 100_000)]
     df = spark.createDataFrame([(i, u, "h") for i, u in rows], "page_id long, url string, host string")
