@@ -1,6 +1,6 @@
 """Documents to packed training sequences: every stage takes the documents that its predecessor kept.
 
-Quality and language drop documents, near-duplicate removal keeps one of each group, repeat removal shortens
+Every stage judges rows, not ids. Quality and language drop documents, near-duplicate removal keeps one of each group, repeat removal shortens
 texts, and packing turns what is left into sequences. All stages but the last return the columns of documents.
 """
 
@@ -17,20 +17,29 @@ from kalends.storage import materialise
 LEAST_SHARE = 0.3
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """The rows with ``_row``, a hash of what the stages judge; only rows that agree in all of it share a number."""
+    judged = ["doc_id", "text", "lang", "source"]
+    return docs.withColumn("_row", F.xxhash64(*[x for c in judged for x in (F.col(c), F.col(c).isNull())]))
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that pass the base rules and are no outliers in their language and source."""
-    return rows_with(docs, quality.outlier_verdicts(docs).where("kept").select("doc_id").distinct())
+    rows = _numbered(docs)
+    kept = quality.outlier_verdicts(rows.withColumn("doc_id", F.col("_row"))).where("kept")
+    return rows_with(rows, kept.select(F.col("doc_id").alias("_row")).distinct(), "_row").drop("_row")
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with a language that can be told."""
-    told = langid.labelled(docs).where((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= LEAST_SHARE))
-    return rows_with(docs, told.select("doc_id").distinct())
+    rows = _numbered(docs)
+    told = langid.labelled(rows, "_row").where((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= LEAST_SHARE))
+    return rows_with(rows, told.select("_row").distinct(), "_row").drop("_row")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of every group of near duplicates."""
-    return rows_with(docs, neardup.components(docs).where("kept").select("doc_id").distinct())
+    """One row of every group of near duplicates, that with the least id."""
+    return neardup.one_of_each(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

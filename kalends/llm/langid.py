@@ -273,8 +273,8 @@ def training_fragments(documents: DataFrame) -> list[tuple[str, str]]:
     return [(r.lang, r.fragment) for r in sorted(rows, key=lambda r: (r.doc_id, r.lang))]
 
 
-def labelled(documents: DataFrame) -> DataFrame:
-    """doc_id, held_out, lang_pred and score of every document.
+def labelled(documents: DataFrame, *carried: str) -> DataFrame:
+    """doc_id, held_out, lang_pred and score of every document, and the ``carried`` columns of its row.
 
     Defined cases: a null text or one without letters is ``und`` with score 0; without any labelled row every text
     is ``und``; a null id is neither learned from nor held out; repeated rows get equal results; an
@@ -290,10 +290,12 @@ def labelled(documents: DataFrame) -> DataFrame:
             texts = batch.column(1).to_pylist()
             found = labeller(texts) if labeller else [(UNDETERMINED, 0.0)] * len(texts)
             yield pa.record_batch(
-                [batch.column(0), pa.array([x for x, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())],
-                ["doc_id", "lang_pred", "score"],
+                [batch.column(0), pa.array([x for x, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64()), *batch.columns[2:]],
+                ["doc_id", "lang_pred", "score", *carried],
             )
 
-    return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(label, "doc_id long, lang_pred string, score double").select(
-        "doc_id", (bucket_of_id(F.col("doc_id"), FOLDS) == HELD_OUT).alias("held_out"), "lang_pred", "score"
+    given = documents.select(F.col("doc_id").cast("long"), "text", *carried)
+    more = "".join(f", {f.name} {f.dataType.simpleString()}" for f in given.schema.fields[2:])
+    return given.mapInArrow(label, "doc_id long, lang_pred string, score double" + more).select(
+        "doc_id", (bucket_of_id(F.col("doc_id"), FOLDS) == HELD_OUT).alias("held_out"), "lang_pred", "score", *carried
     )

@@ -25,6 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kalends.llm.common import SPACES
 from kalends.llm.tokens import Remembered
 from kalends.storage import Scratch, materialise
 
@@ -378,6 +379,29 @@ def connected(links: DataFrame, scratch: Scratch) -> DataFrame:
         before = now
 
 
+def one_of_each(documents: DataFrame) -> DataFrame:
+    """One row of every group of near duplicates, judged by rows: the least id, null last, then the least text hash.
+
+    Identical rows and rows with equal texts are one text of the join, whatever their ids. Null and blank texts
+    are linked with nothing; of those only rows with equal id and text are one. Columns and other rows stay as they are.
+    """
+    hashed = documents.withColumn("_text", F.coalesce(F.sha2("text", 256), F.lit("")))
+    blank = F.length(F.btrim(F.coalesce("text", F.lit("")), F.lit(SPACES))) == 0
+    own = F.struct(F.col("doc_id").isNull().alias("_null"), F.col("doc_id").alias("_id"))
+    least = hashed.where(~blank).groupBy(F.col("_text").alias("_key")).agg(F.min(own).alias("x")).select("_key", "x._id")
+    same = (F.col("_text") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id"))
+    firsts = materialise(
+        hashed.where(~blank).join(least, same, "left_semi").union(hashed.where(blank)).dropDuplicates(["_text", "doc_id"]), "firsts"
+    )
+    number = F.xxhash64("_text")
+    found = components(firsts.where(~blank).select(number.alias("doc_id"), "text")).select(F.col("doc_id").alias("_number"), "component_id")
+    chosen = (
+        firsts.where(~blank).select("doc_id", "_text", number.alias("_number")).join(found, "_number")
+        .groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("_null"), "doc_id", "_text"))["_text"].alias("_key"))
+    )
+    return firsts.join(chosen, F.col("_text") == F.col("_key"), "left_semi").union(firsts.where(blank)).drop("_text")
+
+
 def components(documents: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every document.
 

@@ -190,3 +190,23 @@ def test_pipeline_keeps_its_promises(spark):
     pieces = corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()
     assert {r.doc_id for r in pieces} == {r.doc_id for r in rows}
     assert sum(r.length for r in corpus_pipeline.run(spark, SF).collect()) == sum(r.length for r in pieces)
+
+
+def test_pipeline_with_repeated_rows_and_null_ids(spark):
+    good = [r for r in spark.read.parquet(f"{SF}/documents.parquet").collect() if r.text and r.lang == "en" and 100 < len(r.text.split()) < 600 and not set(r.text) & set("#*$%&|<>")]
+    long = max(good, key=lambda r: len(set(r.text.split())) / len(r.text.split()) + (len(r.text.split()) > 150))
+    passage = lambda k: " ".join(np.random.default_rng(ord(k)).permutation(long.text.split()).tolist())
+    a, b, c, d = (passage(k) for k in "abcd")
+    odd = [(9001, a), (9001, a), (None, b), (None, b), (None, b + " end"), (9002, c), (None, c), (9003, d), (9003, "$ % & # " * 100), (9004, "x x")]
+    df = spark.read.parquet(f"{SF}/documents.parquet").unionByName(
+        spark.createDataFrame([(i, t, "en", long.source, len(t)) for i, t in odd], "doc_id long, text string, lang string, source string, n_chars long")
+    )
+    docs, texts = df, {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = corpus_pipeline.materialise(stage(spark, docs, SF), name)
+        texts[name] = docs.where("doc_id is null or doc_id > 9000").collect()
+    assert sorted((r.doc_id or 0, r.text) for r in texts["language"]) == sorted((i or 0, t) for i, t in odd[:8])
+    ends = texts["near_duplicates"]
+    assert sorted(r.doc_id or 0 for r in ends) == [0, 9001, 9002, 9003]
+    assert {r.text for r in ends if r.doc_id} == {a, c, d} and {r.text for r in ends if not r.doc_id} < {b, b + " end"}
+    assert {(r.doc_id, r.text) for r in texts["repeats"]} == {(r.doc_id, r.text) for r in ends}
