@@ -25,19 +25,22 @@ from kalends.storage import materialise
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 
-#: Share of each group that the estimate rests on, concentration steps, and the probability that a
-#: normal vector stays within the cutoff.
+#: Share of each group that the estimate rests on, and the probability that a normal vector stays within the
+#: cutoff: one in a thousand of a normal cloud is rejected.
 COVERED = 0.75
-STEPS = 4
-INSIDE = 0.999999
+INSIDE = 0.999
+#: Concentration steps go on until no entry of any estimate moves by more than SETTLED, MOST_STEPS at most.
+SETTLED = 1e-6
+MOST_STEPS = 40
 
 #: Smallest group with an estimate of its own; smaller ones are pooled by language, and a pool that is
 #: still smaller rejects nothing.
 MIN_GROUP = 60
 
 #: The vector's components, each with the least standard deviation that is believed. Most texts have no
-#: symbols and no repeated lines at all, so without a floor the covariance would be singular.
-FLOORS = {"x_length": 0.08, "x_symbols": 0.06, "x_lines": 0.20, "x_repeats": 0.15, "x_upper": 0.06}
+#: symbols and no repeated lines at all, so without a floor the covariance would be singular. Each is small enough
+#: that its component alone can pass the cutoff: x_lines is at most 1, x_repeats at most sqrt(0.5) after the base rules.
+FLOORS = {"x_length": 0.08, "x_symbols": 0.06, "x_lines": 0.15, "x_repeats": 0.12, "x_upper": 0.06}
 NAMES = list(FLOORS)
 
 
@@ -151,14 +154,14 @@ def _mu(i: int) -> Column:
 
 
 def _factor(estimates: DataFrame) -> DataFrame:
-    """Replace the covariances s{i}{j} by their Cholesky factor l{i}{j}, after adding the floors.
+    """Replace the covariances s{i}{j} by their Cholesky factor l{i}{j}; variances below their floor are raised to it.
 
     One row per group, one column per entry; each row of the factor is a projection of its own.
     """
     d = len(NAMES)
     for i in range(d):
         for j in range(i + 1):
-            entry = F.col(f"s{i}{j}") + (FLOORS[NAMES[i]] ** 2 if i == j else 0.0)
+            entry = F.greatest(F.col(f"s{i}{j}"), F.lit(FLOORS[NAMES[i]] ** 2)) if i == j else F.col(f"s{i}{j}")
             for k in range(j):
                 entry = entry - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
             value = F.sqrt(F.greatest(entry, F.lit(1e-12))) if i == j else entry / F.col(f"l{j}{j}")
@@ -219,6 +222,14 @@ def _concentrate(good: DataFrame, estimates: DataFrame) -> DataFrame:
     return _factor(moments)
 
 
+def _moved(before: DataFrame, after: DataFrame) -> bool:
+    """Whether any entry of any group's estimate has moved by more than ``SETTLED``."""
+    entries = [c for c in after.columns if c not in (*KEY, "group_rows")]
+    old = before.select(*KEY, *[F.col(c).alias(f"_{c}") for c in entries])
+    far = F.greatest(*[F.abs(F.col(c) - F.col(f"_{c}")) for c in entries])
+    return not after.join(old, KEY).where(far > SETTLED).isEmpty()
+
+
 def outlier_verdicts(documents: DataFrame) -> DataFrame:
     """Judge every document by the base rules and by its distance from its group.
 
@@ -234,8 +245,10 @@ def outlier_verdicts(documents: DataFrame) -> DataFrame:
     stats = materialise(_grouped(materialise(text_statistics(documents), "text-statistics")), "grouped-statistics")
     good = stats.where(~F.col("base_failed")).select(*KEY, *NAMES)
     estimates = materialise(_start(good), "mcd-start")
-    for _ in range(STEPS):
-        estimates = materialise(_concentrate(good, estimates), "mcd-step")
+    for _ in range(MOST_STEPS):
+        before, estimates = estimates, materialise(_concentrate(good, estimates), "mcd-step")
+        if not _moved(before, estimates):
+            break
     cutoff = chi_square_quantile(INSIDE, len(NAMES))
     return _with_distance(stats, estimates).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",

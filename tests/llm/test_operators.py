@@ -210,3 +210,24 @@ def test_pipeline_with_repeated_rows_and_null_ids(spark):
     assert sorted(r.doc_id or 0 for r in ends) == [0, 9001, 9002, 9003]
     assert {r.text for r in ends if r.doc_id} == {a, c, d} and {r.text for r in ends if not r.doc_id} < {b, b + " end"}
     assert {(r.doc_id, r.text) for r in texts["repeats"]} == {(r.doc_id, r.text) for r in ends}
+
+
+def test_one_outlier_in_each_component(spark):
+    rng = np.random.default_rng(6)
+    word = lambda low=2, high=9: "".join(rng.choice(list("abcdefgh"), rng.integers(low, high)))
+    line = lambda n=12: " ".join(word() for _ in range(n))
+    usual = [" ".join([line(), line(), line(), line(), line(), line()]).replace(" a", " A", int(rng.integers(1, 4))) for _ in range(200)]
+    three = line(8)
+    planted = {
+        "x_length": " ".join(word(14, 18) for _ in range(80)),
+        "x_symbols": " ".join(word() + "#" * (k % 2) for k in range(80)),
+        "x_lines": "\n".join([line(90), *["xyzxy"] * 12]),
+        "x_repeats": " ".join([line(45), three, line(2), three, line(2), three, line(2), three]),
+        "x_upper": " ".join(word().upper() if k % 2 else word() for k in range(80)),
+    }
+    out = {r.doc_id: r for r in quality.outlier_verdicts(frame(spark, usual + list(planted.values()))).collect()}
+    assert {name: out[200 + k].kept or out[200 + k].base_failed for k, name in enumerate(planted)} == dict.fromkeys(planted, False)
+    assert sum(r.kept for i, r in out.items() if i is None or i < 200) >= 198
+    cutoff = quality.chi_square_quantile(quality.INSIDE, len(quality.NAMES))
+    most = {"x_lines": 1.0, "x_repeats": (quality.MAX_REPEAT_PERCENT / 100) ** 0.5}
+    assert all((most.get(name, 1.0) / floor) ** 2 > cutoff for name, floor in quality.FLOORS.items())
