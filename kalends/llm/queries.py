@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kalends.llm import annsearch, codec, langid, neardup, packing, quality, repeats, sharding, toxicity, urls
+from kalends.llm import annsearch, codec, langid, neardup, packing, pieces, quality, repeats, sharding, toxicity, urls
 from kalends.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,3 +71,8 @@ def op9_chain_field_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_forced_boundary_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codec.digests(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query()
+def op11_vectorised_merge_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digests(table(spark, sf_dir, "documents", "doc_id", "text"))
