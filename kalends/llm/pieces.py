@@ -70,6 +70,7 @@ class PieceCodec:
         last = {scores[i] for n, i in self.runs.items() if n > 1}
         if 1 not in self.runs or len(last) > 1 or any(scores[i] <= min(last) for p, i in normal.items() if p.strip(BLANK)):
             raise ValueError("pieces of blanks alone must share the least score")
+        self.lone_blank = [self.runs[1]]
 
     def _pairs(self, normal: dict[str, int], scores: list[float]) -> None:
         """The table of pairs that make a piece, and the pieces whose occurrences must be merged one by one.

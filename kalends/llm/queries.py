@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kalends.llm import annsearch, codec, langid, lexical, neardup, packing, pieces, quality, repeats, sharding, toxicity, urls
+from kalends.llm import alignment, annsearch, codec, langid, lexical, neardup, packing, pieces, quality, repeats, sharding, toxicity, urls
 from kalends.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +81,8 @@ def op11_vectorised_merge_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(sql=lexical.SQL)
 def op12_pipelined_term_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.ranked(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+@query()
+def op13_shared_cut_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.aligned(table(spark, sf_dir, "documents", "doc_id", "text"))

@@ -20,7 +20,7 @@ LONGEST = 64
 
 # Characters on which Python's and the tokenizers' ideas of letters, case and white space agree;
 # texts with others are handed to the tokenizers library for these steps.
-_UNUSUAL = re.compile("[^\x00-\x1b\x20-ɏ]")
+UNUSUAL = re.compile("[^\x00-\x1b\x20-ɏ]")
 
 
 class Remembered(dict):
@@ -73,7 +73,7 @@ def byte_level_encoder(json_path: str, ranks_path: str) -> Callable[[str], bytes
     cuts = re.compile(r"(?= \S)")
 
     def encode(text: str) -> bytes:
-        if _UNUSUAL.search(text) or any(s in text for s in specials):
+        if UNUSUAL.search(text) or any(s in text for s in specials):
             return id_bytes(library.encode(text, add_special_tokens=False).ids)
         if loose.search(text):
             return b"".join(map(first.__getitem__, cuts.split(text)))
@@ -185,7 +185,7 @@ class WordEndCodec:
         for part in self.special_split.split(text) if special else [text]:
             if part in self.specials:
                 results.append(self._result([self.specials[part]]))
-            elif _UNUSUAL.search(part):
+            elif UNUSUAL.search(part):
                 results.append(self._encode_unusual(part))
             else:
                 results += map(self.piece.__getitem__, part.lower().split())
