@@ -31,12 +31,15 @@ from kalends.storage import materialise
 
 BYTE_LEVEL = public_tokenizers.path("byte_bpe_50k.json")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
-#: A block of documents ends at so many characters.
-BLOCK_CHARS = 16_000_000
+#: A block of documents ends at so many characters; its units are encoded and aligned so many at a time.
+BLOCK_CHARS = 8_000_000
+UNITS_AT_ONCE = 20_000
 #: Ends tried one by one around the middle before all ends of an interval are looked up at once.
 TRIES = 16
 
 _UNIT_START = re.compile(r"(?<=\S) ")
+#: White space before a blank, as far as usual characters go.
+_SPACED = [c + " " for c in "\t\n\x0b\x0c\r \x85\xa0"]
 _BLOCKS = (
     "block long, kind int, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, units binary,"
     " pairs array<long>, times array<long>, link_ends binary, links binary"
@@ -131,54 +134,82 @@ def links_of(ends_a: np.ndarray, ends_b: np.ndarray, group_a: np.ndarray, group_
 class _Units:
     """The aligned units of one block."""
 
-    def __init__(self, parts: list[str], a: ByteLevel, b, pair_shift: int = 32):
-        ids_a = [a.encode(" " + part) for part in parts]
-        ids_b = [ids.tolist() if part else b.lone_blank for part, ids in zip(parts, b.encode_many(parts))]
-        whole = [(" " + part).encode() for part in parts]
+    def __init__(self, parts: list[str], a: ByteLevel, b):
         #: Units whose tokens on both sides join to their own bytes; the others make their documents have no tokens.
-        self.good = np.array([
-            b"".join(map(a.bytes_of.__getitem__, x)) == y == b"".join(map(b.bytes_of.__getitem__, z)) for x, y, z in zip(ids_a, whole, ids_b)
-        ], dtype=bool)
-        keep = np.flatnonzero(self.good).tolist()
+        self.good = np.zeros(len(parts), dtype=bool)
         self.n_a, self.n_b, self.n_groups, self.n_links = (np.zeros(len(parts), dtype=np.int64) for _ in range(4))
         self.text = [""] * len(parts)
-        self.pairs = np.empty(0, dtype=np.int64)
-        if not keep:
-            return
-        lengths = [np.array(list(map(len, side.bytes_of)), dtype=np.int64) for side in (a, b)]
-        flat = [np.fromiter(chain.from_iterable(ids[u] for u in keep), np.int64) for ids in (ids_a, ids_b)]
-        sizes = [np.array([len(ids[u]) for u in keep], dtype=np.int64) for ids in (ids_a, ids_b)]
+        self.lengths = [np.array(list(map(len, side.bytes_of)), dtype=np.int64) for side in (a, b)]
+        self.names = [np.array([f"{i}{mark}" for i in range(len(side.bytes_of)) for mark in ",|;"], dtype=object) for side in (a, b)]
+        found = [self._align(parts[start: start + UNITS_AT_ONCE], start, a, b) for start in range(0, len(parts), UNITS_AT_ONCE)]
+        #: The linked ids of all units in turn, A's in the upper half.
+        self.pairs = np.concatenate([np.empty(0, dtype=np.int64), *found])
+
+    def _align(self, parts: list[str], start: int, a: ByteLevel, b) -> np.ndarray:
+        """Align some units, of which the first has number ``start``; their linked ids."""
+        whole = [" " + part for part in parts]
+        ids_a = [a.encode(unit) for unit in whole]
+        ids_b = b.encode_units(parts)
+        keep = range(len(parts))
+        flat, sizes = self._flat(ids_a, ids_b, keep)
+        joined = [b"".join(map(side.bytes_of.__getitem__, ids.tolist())) for side, ids in zip((a, b), flat)]
+        text = "".join(whole).encode()
+        reach = np.cumsum([len(unit.encode()) for unit in whole])
+        same = all(
+            j == text and np.array_equal(np.append(0, np.cumsum(of[ids]))[np.cumsum(size)], reach)
+            for j, of, ids, size in zip(joined, self.lengths, flat, sizes)
+        )
+        if not same:  # some unit's tokens do not join to its bytes: look at each
+            keep = [u for u, unit in enumerate(whole) if all(
+                b"".join(map(side.bytes_of.__getitem__, ids)) == unit.encode()
+                for side, ids in ((a, ids_a[u]), (b, np.frombuffer(ids_b[u], "<u4").tolist()))
+            )]
+            if not keep:
+                return np.empty(0, dtype=np.int64)
+            flat, sizes = self._flat(ids_a, ids_b, keep)
         firsts = [np.cumsum(s) - s for s in sizes]
-        ends = [np.cumsum(of[ids]) for of, ids in zip(lengths, flat)]
+        ends = [np.cumsum(of[ids]) for of, ids in zip(self.lengths, flat)]
         group_a, group_b = leaf_groups(*ends, *firsts)
         link_a, link_b = links_of(*ends, group_a, group_b)
-        group_unit = np.searchsorted(firsts[0], group_a, "right") - 1
-        link_unit = np.searchsorted(firsts[0], link_a, "right") - 1
-        self.n_a[keep], self.n_b[keep] = sizes
-        self.n_groups[keep] = np.bincount(group_unit, minlength=len(keep))
-        self.n_links[keep] = np.bincount(link_unit, minlength=len(keep))
-        self.pairs = (flat[0][link_a] << pair_shift) | flat[1][link_b]
-        self._write(keep, flat, group_a, group_b, sizes)
+        numbers = np.array(keep) + start
+        self.good[numbers] = True
+        self.n_a[numbers], self.n_b[numbers] = sizes
+        self.n_groups[numbers] = np.bincount(np.searchsorted(firsts[0], group_a, "right") - 1, minlength=len(keep))
+        self.n_links[numbers] = np.bincount(np.searchsorted(firsts[0], link_a, "right") - 1, minlength=len(keep))
+        self._write(numbers.tolist(), flat, group_a, group_b, sizes)
+        return (flat[0][link_a] << 32) | flat[1][link_b]
+
+    @staticmethod
+    def _flat(ids_a: list[list[int]], ids_b: list[bytes], keep) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """The ids of the kept units in a row, and how many each has, for A and B."""
+        flat = [np.fromiter(chain.from_iterable(ids_a[u] for u in keep), np.int64), np.frombuffer(b"".join([ids_b[u] for u in keep]), "<u4").astype(np.int64)]
+        return flat, [np.array([len(ids_a[u]) for u in keep], dtype=np.int64), np.array([len(ids_b[u]) // 4 for u in keep], dtype=np.int64)]
 
     def _write(self, keep: list[int], flat: list[np.ndarray], group_a: np.ndarray, group_b: np.ndarray, sizes: list[np.ndarray]) -> None:
         """The groups of every unit as text: A's ids, a bar, B's ids; a semicolon after each group but the last."""
-        marks = []
-        for ids, starts, last in ((flat[0], group_a, "|"), (flat[1], group_b, ";")):
-            ending = np.zeros(len(ids), dtype=bool)
-            ending[np.append(starts[1:], len(ids)) - 1] = True
-            marks.append((ids, starts, ending, last))
+        marked = []
+        for ids, starts, names, last in ((flat[0], group_a, self.names[0], 1), (flat[1], group_b, self.names[1], 2)):
+            ending = np.zeros(len(ids), dtype=np.int64)
+            ending[np.append(starts[1:], len(ids)) - 1] = last
+            marked.append(names[ids * 3 + ending])
         # tokens stand group by group, A's before B's
         number_a = np.arange(len(flat[0])) + np.repeat(group_b, np.diff(np.append(group_a, len(flat[0]))))
         number_b = np.arange(len(flat[1])) + np.repeat(np.append(group_a[1:], len(flat[0])), np.diff(np.append(group_b, len(flat[1]))))
         words = np.empty(len(flat[0]) + len(flat[1]), dtype=object)
-        for (ids, _, ending, last), number in zip(marks, (number_a, number_b)):
-            words[number] = [f"{i}{last if e else ','}" for i, e in zip(ids.tolist(), ending.tolist())]
+        words[number_a], words[number_b] = marked
         start, written = 0, words.tolist()
         for unit, size in zip(keep, (sizes[0] + sizes[1]).tolist()):
             self.text[unit] = "".join(written[start: start + size])[:-1]
             start += size
 
 
+def units(text: str) -> list[str]:
+    """The text cut at every blank that follows a character which is no white space; the blanks themselves are left out."""
+    if text.startswith(" ") or any(pair in text for pair in _SPACED) or UNUSUAL.search(text):
+        return _UNIT_START.split(text)
+    return text.split(" ")
+
+
 class _Block:
     """Documents on their way to one block."""
 
@@ -189,27 +220,27 @@ class _Block:
         self.chars = 0
 
     def add(self, doc_id: int | None, text: str | None) -> None:
-        parts = _UNIT_START.split(text) if text else []
+        parts = units(text) if text else []
         self.ids.append(doc_id)
         self.documents.append(np.fromiter(map(self.numbers.__getitem__, parts), np.int32, len(parts)))
         self.chars += len(text or "")
 
     def batch(self, block: int, a: ByteLevel, b) -> pa.RecordBatch:
-        units = _Units(list(self.numbers), a, b)
-        used = np.zeros(len(units.good), dtype=np.int64)
-        rows = []
+        aligned = _Units(list(self.numbers), a, b)
+        counted, rows = [np.empty(0, dtype=np.int32)], []
         for doc_id, numbers in zip(self.ids, self.documents):
             row = {"block": block, "kind": 0, "doc_id": doc_id, "n_a": 0, "n_b": 0, "n_groups": 0, "n_links": 0, "groups_sha256": "", "units": b""}
-            if len(numbers) and units.good[numbers].all():
-                used += np.bincount(numbers, minlength=len(used))
-                digest = hashlib.sha256(";".join(map(units.text.__getitem__, numbers.tolist())).encode()).hexdigest()
-                totals = {name: int(getattr(units, name)[numbers].sum()) for name in ("n_a", "n_b", "n_groups", "n_links")}
+            if len(numbers) and aligned.good[numbers].all():
+                counted.append(numbers)
+                digest = hashlib.sha256(";".join(map(aligned.text.__getitem__, numbers.tolist())).encode()).hexdigest()
+                totals = {name: int(getattr(aligned, name)[numbers].sum()) for name in ("n_a", "n_b", "n_groups", "n_links")}
                 row |= totals | {"groups_sha256": digest, "units": numbers.astype("<i4").tobytes()}
             rows.append(row)
+        used = np.bincount(np.concatenate(counted), minlength=len(aligned.good))
         # units that only documents without tokens use take no part in any count
-        per_link = np.repeat(used, units.n_links)
-        links = units.pairs[per_link > 0]
-        ends = np.cumsum(np.where(used > 0, units.n_links, 0))
+        per_link = np.repeat(used, aligned.n_links)
+        links = aligned.pairs[per_link > 0]
+        ends = np.cumsum(np.where(used > 0, aligned.n_links, 0))
         pairs, place = np.unique(links, return_inverse=True)
         times = np.zeros(len(pairs), dtype=np.int64)
         np.add.at(times, place, per_link[per_link > 0])

@@ -70,7 +70,6 @@ class PieceCodec:
         last = {scores[i] for n, i in self.runs.items() if n > 1}
         if 1 not in self.runs or len(last) > 1 or any(scores[i] <= min(last) for p, i in normal.items() if p.strip(BLANK)):
             raise ValueError("pieces of blanks alone must share the least score")
-        self.lone_blank = [self.runs[1]]
 
     def _pairs(self, normal: dict[str, int], scores: list[float]) -> None:
         """The table of pairs that make a piece, and the pieces whose occurrences must be merged one by one.
@@ -153,27 +152,31 @@ class PieceCodec:
         return symbols[order], words[order]
 
     def _fragments(self, word: str) -> list[str]:
-        """The word, cut where two neighbouring characters stand side by side in no piece, if it is long."""
-        if len(word) <= LONGEST:
-            return [word]
+        """The word, cut where two neighbouring characters stand side by side in no piece."""
         cuts = [0, *(i for i, pair in enumerate(zip(word, word[1:]), 1) if pair not in self.joined), len(word)]
         return [word[a:b] for a, b in zip(cuts, cuts[1:])]
 
-    def _encode_words(self, words: list[str]) -> Iterator[tuple[str, np.ndarray]]:
-        """Each word with its ids; the words start with a blank and hold no other."""
+    def _encode_words(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Each word with its ids as bytes; the words start with a blank and hold no other."""
         group: list[tuple[str, int]] = []
         fragments: list[str] = []
         size = 0
-        for number, word in enumerate(words):
-            parts = self._fragments(BLANK + word)
-            group.append((word, len(parts)))
-            fragments += parts
+        for word in words:
+            if len(word) < LONGEST:
+                group.append((word, 1))
+                fragments.append(BLANK + word)
+            else:
+                parts = self._fragments(BLANK + word)
+                group.append((word, len(parts)))
+                fragments += parts
             size += len(word) + 1
-            if size >= SYMBOLS or number == len(words) - 1:
+            if size >= SYMBOLS:
                 yield from self._encode_group(group, fragments)
                 group, fragments, size = [], [], 0
+        if group:
+            yield from self._encode_group(group, fragments)
 
-    def _encode_group(self, group: list[tuple[str, int]], fragments: list[str]) -> Iterator[tuple[str, np.ndarray]]:
+    def _encode_group(self, group: list[tuple[str, int]], fragments: list[str]) -> Iterator[tuple[str, bytes]]:
         chars = np.frombuffer("".join(fragments).encode("utf-32-le"), dtype=np.uint32)
         numbers = np.repeat(np.arange(len(fragments), dtype=np.int32), np.fromiter(map(len, fragments), np.int64, len(fragments)))
         symbols, numbers = self.merge(self.of_char[chars], numbers)
@@ -189,9 +192,9 @@ class PieceCodec:
         parts = np.array([n for _, n in group], dtype=np.int64)
         of_word = np.add.reduceat(of_fragment, np.cumsum(parts) - parts)
         ends = np.cumsum(of_word).tolist()
-        start = 0
+        ids, start = symbols.astype("<u4").tobytes(), 0
         for (word, _), end in zip(group, ends):
-            yield word, symbols[start:end].astype("<u4")
+            yield word, ids[4 * start: 4 * end]
             start = end
 
     def _of(self, words: set[str]) -> dict[str, bytes]:
@@ -207,7 +210,7 @@ class PieceCodec:
                 self.known[word] = ids
             found[word] = ids
         for word, ids in self._encode_words(new):
-            found[word] = ids = ids.tobytes()
+            found[word] = ids
             if len(word) <= LONGEST:
                 self.known[word] = ids
                 if len(self.known) >= REMEMBERED // 2:
@@ -264,6 +267,11 @@ class PieceCodec:
             ids[""] = b""
         return np.frombuffer(self._joined_up(words, ids), dtype="<u4")
 
+    def encode_units(self, parts: list[str]) -> list[bytes]:
+        """The ids, as bytes, of each part with one blank before it; an empty part is that blank alone."""
+        ids = self._of({part for part in parts if part and " " not in part and BLANK not in part})
+        return [ids[p] if p in ids else self._run(1) if not p else b"".join([x.tobytes() for x in self.encode(p)]) for p in parts]
+
     def encode_many(self, texts: list[str]) -> Iterator[np.ndarray]:
         """The ids of every text, without end ids; short texts share the rounds for their new words."""
         group: list[str] = []
