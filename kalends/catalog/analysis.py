@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,13 +16,14 @@ from kalends.functions.scalars import safe_div
 from kalends.operators import timeintel as ti
 from kalends.operators.calendar import calendar_from, with_calendar_columns
 from kalends.operators.filters import between_dates, first_rows
-from kalends.operators.hierarchy import hierarchy_rollup, in_order
+from kalends.operators.hierarchy import day_sets, in_order, set_rollup
 from kalends.operators.joins import DateRole, Star, by_role
 from kalends.operators.measures import FLAT_FIELDS, days_without_purchase, evaluate, measure_rows, values_of
 from kalends.operators.ranges import date_ranges_text
 from kalends.plans import flat as flat_plans
 from kalends.plans import star as star_plans
 from kalends.sources import samples
+from kalends.storage import materialise
 
 
 def sales_star(
@@ -164,10 +166,8 @@ def product_territory_pairs(spark, sf_dir):
 FROM lines JOIN part ON p_partkey = l_partkey GROUP BY 1""")
 def days_without_sales_flat(spark, sf_dir):
     """Days without a sale between a product's first and last sale."""
-    t = samples.order_entry(spark, sf_dir, territory=False)
-    products = star_plans.product_dim(t).select("ProductoKey", "Producto")
-    sold = star_plans.sales_fact(t).select("ProductoKey", "OrderDate").join(products, "ProductoKey")
-    return measure_rows(sold, ["Producto"], ["purchase_days", "days_without_purchase"], FLAT_FIELDS).select(
+    star = sales_star(spark, sf_dir, ["Dim_Producto"], territory=False)
+    return evaluate(star, ["Producto"], ["purchase_days", "days_without_purchase"]).select(
         F.col("Producto").alias("producto"), whole("purchase_days"), whole("days_without_purchase")
     )
 
@@ -451,18 +451,31 @@ SELECT CAST(3 - CASE grouping(y, p, d) WHEN 0 THEN 0 WHEN 1 THEN 1 WHEN 3 THEN 2
 FROM x GROUP BY ROLLUP (y, p, d)"""
 
 
-def _rollup(spark, sf_dir, hierarchy: str, year: str, part: str, label: str) -> DataFrame:
-    """Sales, lines, customers, orders and ticket per level.
+_SUMMED = ["sales", "lines", "orders"]
+# Hierarchy -> its year, its part of the year, that part's label.
+_LEVELS = {
+    "Calendar": ("Year", "Month", "Month Name"), "Fiscal": ("FiscalYear", "FiscalMonthNumber", "Fiscal Month Name"),
+    "Calendar Week": ("Year", "Week of Year", "Week of Year"),
+    "Fiscal Week": ("FiscalYear", "Fiscal Week of Year", "Fiscal Week of Year"), "Iso Week": ("IsoYear", "IsoWeek", "IsoWeek"),
+}
+
+
+def sales_day_sets(spark, sf_dir) -> DataFrame:
+    """Sales, lines and orders per day, and each day's customers as a set: all that a roll-up needs of the fact.
 
     Orders have one date each, so their number can be summed over days; customers cannot.
     """
     rows = orders_with_sales(spark, sf_dir).groupBy(F.to_date("OrderDate").alias("Date"), "ClienteKey").agg(
         F.sum("LineTotal").alias("sales"), F.sum("Lineas").alias("lines"), F.count(F.lit(1)).alias("orders")
     )
-    rolled = hierarchy_rollup(rows, order_calendar(spark, sf_dir, *dict.fromkeys(["Date", year, part, label])), hierarchy, {
-        "sales": F.sum("sales"), "lines": F.sum("lines"), "customers": F.count_distinct("ClienteKey"),
-        "orders": F.sum("orders"),
-    })
+    return materialise(day_sets(rows.withColumnRenamed("ClienteKey", "customers"), _SUMMED, "customers"), "day-sets")
+
+
+def _rolled(spark, sf_dir, days: DataFrame, hierarchy: str) -> DataFrame:
+    """Sales, lines, customers, orders and ticket per level of a hierarchy."""
+    year, part, label = _LEVELS[hierarchy]
+    calendar = order_calendar(spark, sf_dir, *dict.fromkeys(["Date", year, part, label]))
+    rolled = set_rollup(days, calendar, hierarchy, _SUMMED, "customers")
 
     def or_all(column: str, name: str):
         return F.coalesce(F.col(f"`{column}`").cast("string"), F.lit("All")).alias(name)
@@ -474,9 +487,13 @@ def _rollup(spark, sf_dir, hierarchy: str, year: str, part: str, label: str) ->
     )
 
 
+def _rollup(spark, sf_dir, hierarchy: str) -> DataFrame:
+    return _rolled(spark, sf_dir, sales_day_sets(spark, sf_dir), hierarchy)
+
+
 @query(_rollup_sql("year(d)", "month(d)", f"{MONTHS['es']}[p]"))
 def calendar_rollup(spark, sf_dir):
-    return _rollup(spark, sf_dir, "Calendar", "Year", "Month", "Month Name")
+    return _rollup(spark, sf_dir, "Calendar")
 
 
 _FISCAL_YEAR_SQL = "year(d) + CASE WHEN month(d) >= 6 THEN 1 ELSE 0 END"
@@ -484,22 +501,36 @@ _FISCAL_YEAR_SQL = "year(d) + CASE WHEN month(d) >= 6 THEN 1 ELSE 0 END"
 
 @query(_rollup_sql(_FISCAL_YEAR_SQL, "(month(d) + 6) % 12 + 1", f"{MONTHS['es']}[(p + 4) % 12 + 1]"))
 def fiscal_rollup(spark, sf_dir):
-    return _rollup(spark, sf_dir, "Fiscal", "FiscalYear", "FiscalMonthNumber", "Fiscal Month Name")
+    return _rollup(spark, sf_dir, "Fiscal")
 
 
 @query(_rollup_sql("year(d)", week_sql("d"), "CAST(p AS VARCHAR)"))
 def week_rollup(spark, sf_dir):
-    return _rollup(spark, sf_dir, "Calendar Week", "Year", "Week of Year", "Week of Year")
+    return _rollup(spark, sf_dir, "Calendar Week")
 
 
 @query(_rollup_sql(_FISCAL_YEAR_SQL, week_sql("CAST(d - INTERVAL 6 MONTH AS DATE)"), "CAST(p AS VARCHAR)"))
 def fiscal_week_rollup(spark, sf_dir):
-    return _rollup(spark, sf_dir, "Fiscal Week", "FiscalYear", "Fiscal Week of Year", "Fiscal Week of Year")
+    return _rollup(spark, sf_dir, "Fiscal Week")
 
 
 @query(_rollup_sql("isoyear(d)", "week(d)", "CAST(p AS VARCHAR)"))
 def iso_week_rollup(spark, sf_dir):
-    return _rollup(spark, sf_dir, "Iso Week", "IsoYear", "IsoWeek", "IsoWeek")
+    return _rollup(spark, sf_dir, "Iso Week")
+
+
+@query(" UNION ALL ".join(f"SELECT '{name}' AS hierarchy, * FROM ({sql})" for name, sql in {
+    "Calendar": _rollup_sql("year(d)", "month(d)", f"{MONTHS['es']}[p]"),
+    "Fiscal": _rollup_sql(_FISCAL_YEAR_SQL, "(month(d) + 6) % 12 + 1", f"{MONTHS['es']}[(p + 4) % 12 + 1]"),
+    "Calendar Week": _rollup_sql("year(d)", week_sql("d"), "CAST(p AS VARCHAR)"),
+    "Fiscal Week": _rollup_sql(_FISCAL_YEAR_SQL, week_sql("CAST(d - INTERVAL 6 MONTH AS DATE)"), "CAST(p AS VARCHAR)"),
+    "Iso Week": _rollup_sql("isoyear(d)", "week(d)", "CAST(p AS VARCHAR)"),
+}.items()))
+def five_rollups(spark, sf_dir):
+    """All five hierarchies, distinct customers included, from one pass over the fact."""
+    days = sales_day_sets(spark, sf_dir)
+    stacked = [_rolled(spark, sf_dir, days, h).select(F.lit(h).alias("hierarchy"), "*") for h in _LEVELS]
+    return reduce(DataFrame.unionByName, stacked)
 
 
 # --- date ranges --------------------------------------------------------------------------------

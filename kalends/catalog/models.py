@@ -379,7 +379,7 @@ def column_cardinality(spark, sf_dir):
         "Dim_Cliente": (star_plans.customer_dim(t), ["NombreCliente"]),
         "Dim_Producto": (star_plans.product_dim(t), ["Producto", "Subcategoria", "Categoria"]),
         "Dim_Territorio": (star_plans.territory_dim(t), ["Territorio"]),
-    })
+    }, stored=frozenset({"Dim_Cliente", "Dim_Producto", "Dim_Territorio"}))
 
 
 @query(f"""WITH {CAL}, x AS (

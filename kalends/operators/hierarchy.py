@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kalends.operators.distinct import PART, SET, distinct_sets
+
 # Hierarchy -> its levels, coarse to fine, each as (key column, label column).
 # A label is ordered by its key: month names by month number, fiscal months by fiscal position.
 HIERARCHIES = {
@@ -35,8 +39,7 @@ def hierarchy_rollup(
     columns = [c for c in dict.fromkeys([*keys, *labels]) if c != "Date"]
     days = F.broadcast(calendar.select("Date", *[F.col(f"`{c}`") for c in columns]))
     described = rows.join(days, "Date", "left")
-    # grouping_id() has one bit per key, set where the key is rolled up: 2^(n-level) - 1.
-    level = F.lit(len(keys)) - F.log2(F.grouping_id() + 1).cast("int")
+    level = F.lit(len(keys)) - F.bit_count(F.grouping_id())  # one bit per key, set where the key is rolled up
     rolled = described.rollup(*[F.col(f"`{k}`") for k in keys]).agg(
         level.alias("level"),
         *[F.max(f"`{label}`").alias(label) for label in labels],
@@ -47,7 +50,46 @@ def hierarchy_rollup(
     })
 
 
+def day_sets(rows: DataFrame, additive: list[str], counted: str) -> DataFrame:
+    """What roll-ups of many rows need of them, by ``Date``: sums, and the different values of ``counted`` as bitmaps.
+
+    One table: rows without a part hold the sums, the others a bitmap. Store it to roll it up along several hierarchies.
+    """
+    sums = rows.groupBy("Date").agg(*[F.sum(c).alias(c) for c in additive])
+    sets = distinct_sets(rows, ["Date"], counted)
+    return sets.withColumn("_sums", F.lit(False)).unionByName(sums.withColumn("_sums", F.lit(True)), allowMissingColumns=True)
+
+
+def set_rollup(days: DataFrame, calendar: DataFrame, hierarchy: str, additive: list[str], counted: str) -> DataFrame:
+    """Sums and an exact distinct count (named ``counted``) for every level of a hierarchy and for the grand total.
+
+    ``days`` come from ``day_sets``. Each level is merged from the one below it, so nothing but the day's own table is ever
+    read, and no row is repeated per level. The result has the shape of ``hierarchy_rollup``'s.
+    """
+    if hierarchy not in HIERARCHIES:
+        raise ValueError(f"no hierarchy {hierarchy!r}; there are {sorted(HIERARCHIES)}")
+    levels = HIERARCHIES[hierarchy]
+    keys = [key for key, _ in levels]
+    labels = [label for key, label in levels if label != key]
+    described = [c for c in dict.fromkeys([*keys, *labels]) if c != "Date"]
+    below = days.join(F.broadcast(calendar.select("Date", *[F.col(f"`{c}`") for c in described])), "Date", "left")
+    stacked = []
+    for depth in range(len(levels), -1, -1):
+        known = keys[:depth]
+        shown = [label for position, (key, label) in enumerate(levels, 1) if label != key and position <= depth]
+        names = [F.col(f"`{c}`") for c in known]
+        kept = [F.max(f"`{c}`").alias(c) for c in shown]
+        if depth < len(levels):
+            below = below.groupBy(*names, PART, "_sums").agg(F.bitmap_or_agg(SET).alias(SET), *[F.sum(c).alias(c) for c in additive], *kept)
+        level = below.groupBy(*names).agg(
+            *[F.sum(c).alias(c) for c in additive],
+            F.sum(F.when(~F.col("_sums"), F.bitmap_count(SET))).alias(counted), *kept,
+        )
+        stacked.append(level.withColumn("level", F.lit(depth)))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), stacked)
+
+
 def in_order(rolled: DataFrame, hierarchy: str) -> DataFrame:
     """Sort a roll-up for display: by the hidden keys, each subtotal ahead of its detail."""
     keys = [k for k, _ in HIERARCHIES[hierarchy] if k in rolled.columns]
-    return rolled.orderBy(*[F.col(f"`{k}`").asc_nulls_first() for k in keys])
+    return rolled.orderBy(*[F.col(f"`{k}`").asc_nulls_first() for k in keys], "level")

@@ -8,7 +8,7 @@ such as order lines and order headers, are never broadcast at all.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -63,8 +63,24 @@ class Dimension:
 
 @dataclass(frozen=True)
 class Star:
+    """A fact and its dimensions.
+
+    ``calendar`` names the dimension that holds the days (in a column ``Date``); ``date_columns`` are columns of the
+    fact itself that say when, such as a flat table's year and month. ``stored`` says that the fact can be read column by
+    column at little cost, as a written table can. ``key_sources`` has, for keys of the fact, a smaller table with at
+    least the fact's values of that key.
+    """
+
     fact: DataFrame
     dimensions: dict[str, Dimension]
+    calendar: str = "Fecha"
+    date_columns: tuple[str, ...] = ()
+    stored: bool = False
+    key_sources: dict[str, DataFrame] = field(default_factory=dict)
+
+    def is_date(self, column: str) -> bool:
+        """Whether a filter on ``column`` is a filter on the days in view."""
+        return column in self.date_columns or self.owner_of(column) == self.calendar
 
     def owner_of(self, column: str) -> str | None:
         """The dimension that carries ``column``; None when the fact itself does.

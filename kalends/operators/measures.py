@@ -1,16 +1,26 @@
-"""Named measures, and their evaluation by any columns of a star or a flat table."""
+"""Named measures, and their evaluation by any columns of a star or a flat table.
+
+A measure is additive, or counts different values, or spans first to last day, or is computed from others, or
+evaluates another measure in a changed view (last year's sales). Different values are counted one set of columns at a
+time: the fact is reduced to the combinations of its grouping keys and the counted columns, by a hash aggregate that
+combines before the shuffle, and only what is left meets the dimensions. No fact row is ever repeated per counted column.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kalends.functions.scalars import distinct_count, safe_div
-from kalends.operators.filters import in_set, non_blank
-from kalends.operators.joins import Star, star_join
+from kalends.functions.scalars import blank_minus, safe_div
+from kalends.operators import context as C
+from kalends.operators.context import Change, Where
+from kalends.operators.filters import non_blank
+from kalends.operators.joins import Star, broadcast_if_small, star_join
+from kalends.storage import materialise
 
 
 @dataclass(frozen=True)
@@ -30,18 +40,21 @@ STAR_FIELDS = Fields("LineTotal", "SalesOrderNumber", "FechaKey", "ClienteKey",
 
 # Measures that can be summed from partial results.
 ADDITIVE: dict[str, Callable[[Fields], Column]] = {
-    "sales": lambda f: F.sum(f.amount),
+    "sales": lambda f: F.sum(f"`{f.amount}`"),
     "lines": lambda f: F.count(F.lit(1)),
 }
-# Measures that have to see the rows. A missing value counts as one more distinct value.
-NON_ADDITIVE: dict[str, Callable[[Fields], Column]] = {
-    "customers": lambda f: distinct_count(f.customer),
-    "products": lambda f: distinct_count(f.product),
-    "territories": lambda f: distinct_count(f.territory),
-    "orders": lambda f: distinct_count(f.order),
-    "purchase_days": lambda f: distinct_count(_day(f)),
-    "product_territory_pairs": lambda f: F.count_distinct(F.struct(f.product, f.territory)),
-    "calendar_days": lambda f: F.datediff(_as_date(f, F.max(f.date)), _as_date(f, F.min(f.date))) + 1,
+# Measures that count different combinations of columns. A missing value counts as one more distinct value.
+COUNTED: dict[str, Callable[[Fields], list[Column]]] = {
+    "customers": lambda f: [F.col(f.customer)],
+    "products": lambda f: [F.col(f.product)],
+    "territories": lambda f: [F.col(f.territory)],
+    "orders": lambda f: [F.col(f.order)],
+    "purchase_days": lambda f: [_day(f)],
+    "product_territory_pairs": lambda f: [F.col(f.product), F.col(f.territory)],
+}
+# Measures of the first and the last date.
+SPAN: dict[str, Callable[[Column, Column], Column]] = {
+    "calendar_days": lambda first, last: F.datediff(last, first) + 1,
 }
 # Measures computed from others.
 DERIVED: dict[str, tuple[list[str], Callable[[], Column]]] = {
@@ -50,6 +63,28 @@ DERIVED: dict[str, tuple[list[str], Callable[[], Column]]] = {
         ["calendar_days", "purchase_days"], lambda: F.col("calendar_days") - F.col("purchase_days")
     ),
 }
+# Measures of sales in a changed view: ``ly`` through the calendar; on the days matching the days with sales, with the other
+# filters kept or all of them dropped; and of the whole year before.
+CHANGED: dict[str, Change] = {
+    "ly": Change("sales", C.SAME_PERIOD),
+    "ly_sparse": Change("sales", C.SALE_DAYS),
+    "ly_sparse_all": Change("sales", C.SALE_DAYS, C.ALL),
+    "ly_full_year": Change("sales", C.FULL_YEAR),
+}
+
+
+def _compared(form: str) -> dict[str, tuple[list[str], Callable[[], Column]]]:
+    """The comparisons of this year's sales with one form of last year's."""
+    ly = f"ly{form}"
+    return {
+        f"yoy{form}": (["sales", ly], lambda: blank_minus("sales", ly)),
+        f"yoy_pct{form}": (["sales", ly], lambda: safe_div(blank_minus("sales", ly), ly)),
+        f"parallel{form}": ([ly], lambda: F.col(ly)),
+    }
+
+
+for _form in ("", "_sparse", "_sparse_all", "_full_year"):
+    DERIVED |= _compared(_form)
 
 
 def _day(f: Fields) -> Column:
@@ -58,85 +93,209 @@ def _day(f: Fields) -> Column:
 
 
 def _as_date(f: Fields, value: Column) -> Column:
-    """An aggregated date, read back from the integer key where the fact has one (keys sort like dates)."""
+    """A day or an aggregated date, read back from the integer key where the fact has one (keys sort like dates)."""
     return F.to_date(value.cast("string"), "yyyyMMdd") if f.date.endswith("Key") else F.to_date(value)
 
 
-def _expand(measures: list[str]) -> list[str]:
-    """The base measures needed for ``measures``."""
+def _expand(measures: list[str], changes: dict[str, Change]) -> list[str]:
+    """The measures needed for ``measures`` that are not computed from others."""
     base: dict[str, None] = {}
     for measure in measures:
         if measure in DERIVED:
             base.update(dict.fromkeys(DERIVED[measure][0]))
-        elif measure in ADDITIVE or measure in NON_ADDITIVE:
+        elif measure in ADDITIVE or measure in COUNTED or measure in SPAN or measure in changes:
             base[measure] = None
         else:
-            raise ValueError(f"no measure {measure!r}; there are {sorted([*ADDITIVE, *NON_ADDITIVE, *DERIVED])}")
+            known = sorted([*ADDITIVE, *COUNTED, *SPAN, *DERIVED, *changes])
+            raise ValueError(f"no measure {measure!r}; there are {known}")
     return list(base)
 
 
+def _named(columns: list[str]) -> list[Column]:
+    return [F.col(f"`{c}`") for c in columns]
+
+
 def _finish(grouped: DataFrame, by: list[str], measures: list[str]) -> DataFrame:
     derived = {m: DERIVED[m][1]() for m in measures if m in DERIVED}
     out = grouped.withColumns(derived) if derived else grouped
-    return non_blank(out.select(*[F.col(f"`{c}`") for c in by], *measures), measures)
+    return non_blank(out.select(*_named(by), *_named(measures)), measures)
 
 
-def measure_rows(rows: DataFrame, by: list[str], measures: list[str], fields: Fields = FLAT_FIELDS) -> DataFrame:
-    """Evaluate measures on one table (a flat one, or a fact already joined), one row per group."""
-    aggregates = {**ADDITIVE, **NON_ADDITIVE}
-    grouped = rows.groupBy(*[F.col(f"`{c}`") for c in by]).agg(
-        *[aggregates[m](fields).alias(m) for m in _expand(measures)]
-    )
-    return _finish(grouped, by, measures)
+def _reduced(star: Star, fact: DataFrame, by: list[str], extra: list[Column], partial: dict[str, Column], merged: dict[str, Column]) -> DataFrame:
+    """One row per combination of ``by`` and ``extra`` (aliased columns of the fact), with merged aggregates.
+
+    The fact is reduced to its own keys first; the dimensions that own a column of ``by`` are joined to what is left.
+    """
+    owners = {c: star.owner_of(c) for c in by}
+    keys = list(dict.fromkeys(c if o is None else star.dimensions[o].fact_key for c, o in owners.items()))
+    columns = [*_named(keys), *extra]
+    grouped = fact.groupBy(*columns).agg(*[c.alias(n) for n, c in partial.items()]) if partial else fact.select(*columns).distinct()
+    if not any(owners.values()):
+        return grouped
+    names = [*by, *grouped.columns[len(keys): len(keys) + len(extra)]]
+    joined = star_join(star, by, grouped)
+    if not merged:
+        return joined.select(*_named(names)).distinct()
+    return joined.groupBy(*_named(names)).agg(*[c.alias(n) for n, c in merged.items()])
+
+
+def _partials(base: list[str], fields: Fields) -> tuple[dict[str, Column], dict[str, Column]]:
+    """Aggregates of fact rows for additive measures and first and last dates, and what merges them."""
+    partial = {m: ADDITIVE[m](fields) for m in base if m in ADDITIVE}
+    merged = {m: F.sum(m) for m in partial}
+    if any(m in SPAN for m in base):
+        partial |= {"_first": F.min(f"`{fields.date}`"), "_last": F.max(f"`{fields.date}`")}
+        merged |= {"_first": F.min("_first"), "_last": F.max("_last")}
+    return partial, merged
+
+
+def _summed(rows: DataFrame, by: list[str], base: list[str], merged: dict[str, Column], fields: Fields, *more: Column) -> DataFrame:
+    """``by`` and its measures, from partial results."""
+    out = rows.groupBy(*_named(by)).agg(*[c.alias(n) for n, c in merged.items()], *more)
+    spans = {m: SPAN[m](_as_date(fields, F.col("_first")), _as_date(fields, F.col("_last"))) for m in base if m in SPAN}
+    return out.withColumns(spans).drop("_first", "_last") if spans else out
+
+
+def _plain(star: Star, fact: DataFrame, by: list[str], base: list[str], fields: Fields) -> list[DataFrame]:
+    """Unchanged measures as tables of ``by`` and some of the measures each; together they have them all."""
+    counted = [m for m in base if m in COUNTED]
+    partial, merged = _partials(base, fields)
+    if len(counted) > 1 and not star.stored:
+        # Several passes, each over a few columns: the fact's plan runs once, and they read what it wrote.
+        keys = dict.fromkeys(c if star.owner_of(c) is None else star.dimensions[star.owner_of(c)].fact_key for c in by)
+        used = [*keys, fields.amount, fields.order, fields.date, fields.customer, fields.product, fields.territory]
+        fact = materialise(fact.select(*_named([c for c in dict.fromkeys(used) if c in fact.columns])), "measured")
+    parts = []
+    for measure in counted:
+        values = [c.alias(f"_n{i}") for i, c in enumerate(COUNTED[measure](fields))]
+        number = F.count(F.lit(1)).alias(measure)
+        if len(counted) == 1:  # one pass for everything: partial sums ride along with the combinations
+            rows = _reduced(star, fact, by, values, partial, merged)
+            return [_summed(rows, by, base, merged, fields, number)]
+        parts.append(_reduced(star, fact, by, values, {}, {}).groupBy(*_named(by)).agg(number))
+    if partial:
+        parts.append(_summed(_reduced(star, fact, by, [], partial, merged), by, base, merged, fields))
+    return parts
+
+
+def _same(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> Column:
+    """NULL-safe equality, so that the blank member meets itself."""
+    return reduce(lambda a, b: a & b, [left[f"`{l}`"].eqNullSafe(right[f"`{r}`"]) for l, r in pairs], F.lit(True))
+
+
+def _changed(star: Star, by: list[str], name: str, change: Change, where: Where, fields: Fields) -> DataFrame:
+    """``by`` and one measure in its changed view."""
+    base = change.base
+    if base not in ADDITIVE and base not in COUNTED:
+        raise ValueError(f"{name!r} changes the view of {base!r}, which is neither summed nor counted")
+    if change.days is not None and any(star.owner_of(c) is None and c in (fields.date,) and c not in star.date_columns for c in by):
+        raise ValueError(f"{name!r} needs {fields.date!r} to be a date column of the star, or the calendar's columns in its place")
+    replaced = change.days is not None
+    date_by = [c for c in by if replaced and star.is_date(c)]
+    kept = [c for c in by if c not in date_by and not change.drops(c)]
+    values = [c.alias(f"_n{i}") for i, c in enumerate(COUNTED[base](fields))] if base in COUNTED else []
+    counted = [f"_n{i}" for i in range(len(values))]
+    partial, merged = _partials([base], fields)
+    fact = C.in_view(star, C.kept_filters(star, where, change))
+    full_year = change.days == C.FULL_YEAR
+    day = [_day(fields).alias("_key")] if replaced else []
+    rows = _reduced(star, fact, kept, [*day, *values], partial, merged)
+    if replaced:
+        rows = rows.withColumn("_key", F.year(_as_date(fields, F.col("_key"))) if full_year else _as_date(fields, F.col("_key")))
+        if full_year:
+            columns = _named([*kept, "_key", *counted])
+            rows = rows.groupBy(*columns).agg(*[c.alias(n) for n, c in merged.items()]) if merged else rows.select(*columns).distinct()
+        if change.days == C.SAME_PERIOD:
+            days, link = C.same_period_days(star, date_by, where), []
+            days = F.broadcast(days)  # a few rows for each day of the calendar
+        else:
+            seen = _reduced(star, C.in_view(star, where), by, [_day(fields).alias("_day")], {}, {})
+            seen = seen.withColumn("_day", _as_date(fields, F.col("_day")))
+            days = C.year_before_last_sale(seen, by) if full_year else C.sale_days_last_year(seen, by)
+            link = kept
+        found = [c for c in by if c in days.columns]
+        days = days.select(*[F.col(f"`{c}`").alias(f"_by{by.index(c)}") for c in found], F.col("_year" if full_year else "_day").alias("_when"))
+        rows = rows.select(*[F.col(f"`{c}`").alias(f"_own{by.index(c)}") for c in kept], "_key", *counted, *merged)
+        rows = rows.join(days, _same(rows, days, [("_key", "_when"), *[(f"_own{by.index(c)}", f"_by{by.index(c)}") for c in link]]))
+        rows = rows.select(
+            *[F.col(f"_by{by.index(c)}" if c in found else f"_own{by.index(c)}").alias(c) for c in by if c in found or c in kept],
+            *counted, *merged,
+        )
+    known = [c for c in by if c in rows.columns]
+    if counted:
+        out = rows.select(*_named([*known, *counted])).distinct().groupBy(*_named(known)).agg(F.count(F.lit(1)).alias(name))
+    else:
+        out = rows.groupBy(*_named(known)).agg(F.sum(base).alias(name))
+    if len(known) == len(by):
+        return out
+    # a dropped column of the result itself: each of its values in view gets the value found without it
+    cells = _reduced(star, C.in_view(star, where), by, [], {}, {})
+    side = out.select(*[F.col(f"`{c}`").alias(f"_at{by.index(c)}") for c in known], name)
+    if not known:
+        return cells.withColumn(name, side.scalar())
+    return cells.join(side, _same(cells, side, [(c, f"_at{by.index(c)}") for c in known]), "left").select(*_named(by), name)
+
+
+def measure_rows(
+    rows: DataFrame, by: list[str], measures: list[str], fields: Fields = FLAT_FIELDS, where: Where | None = None,
+    date_columns: tuple[str, ...] = (), stored: bool = False,
+) -> DataFrame:
+    """Evaluate measures on one table (a flat one, or a fact already joined), one row per group.
+
+    ``date_columns`` are those that say when; measures that replace the days in view drop filters on them.
+    """
+    return evaluate(Star(rows, {}, date_columns=date_columns, stored=stored), by, measures, where, fields)
 
 
 def evaluate(
     star: Star,
     by: list[str],
     measures: list[str],
-    where: dict[str, Callable[[Column], Column]] | None = None,
+    where: Where | None = None,
     fields: Fields = STAR_FIELDS,
+    changes: dict[str, Change] | None = None,
 ) -> DataFrame:
     """Evaluate measures by columns of any table of the star; all-blank rows are dropped.
 
     Only the dimensions that own a column of ``by`` are joined. ``where`` maps a column to a
     test of it; a test on a dimension keeps the fact rows of the members that pass (a semi
-    join). When every measure can be summed, the fact is first reduced to one row per
-    combination of the keys in use: the join then sees each key a bounded number of times,
-    however many fact rows it has.
+    join). The fact is first reduced to one row per combination of the keys in use (and of the counted
+    columns): the join then sees each key a bounded number of times, however many fact rows it has.
+    ``changes`` adds measures that evaluate others in a changed view to those of ``CHANGED``.
     """
-    fact = star.fact
-    for column, test in (where or {}).items():
-        owner = star.owner_of(column)
-        if owner is None:
-            fact = fact.filter(test(F.col(f"`{column}`")))
-        else:
-            dimension = star.dimensions[owner]
-            fact = in_set(fact, dimension.members(test(F.col(f"`{column}`"))), dimension.fact_key)
-    base = _expand(measures)
-    if not all(m in ADDITIVE for m in base):
-        return measure_rows(star_join(star, by, fact), by, measures, fields)
-    owners = {c: star.owner_of(c) for c in by}
-    keys = dict.fromkeys(c if o is None else star.dimensions[o].fact_key for c, o in owners.items())
-    partial = fact.groupBy(*keys).agg(*[ADDITIVE[m](fields).alias(m) for m in base])
-    grouped = (
-        star_join(star, by, partial).groupBy(*[F.col(f"`{c}`") for c in by]).agg(*[F.sum(m).alias(m) for m in base])
-    )
-    return _finish(grouped, by, measures)
+    known = CHANGED | (changes or {})
+    base = _expand(measures, known)
+    where = where or {}
+    plain = [m for m in base if m not in known]
+    parts = _plain(star, C.in_view(star, where), by, plain, fields) if plain else []
+    parts += [_changed(star, by, m, known[m], where, fields) for m in base if m in known]
+    if len(parts) == 1:
+        return _finish(parts[0], by, measures)
+    # Every part has at most one row per group; equal groups, the blank ones too, meet in one aggregate.
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return _finish(stacked.groupBy(*_named(by)).agg(*[F.max(m).alias(m) for m in base]), by, measures)
 
 
 def values_of(star: Star, column: str) -> DataFrame:
-    """The different values of a dimension column, plus one blank if fact rows lack a member."""
+    """The different values of a dimension column, plus one blank if fact rows lack a member.
+
+    Keys without a member are looked for in the smaller table of ``key_sources`` where there is one, with the members
+    as a filter and before anything is shuffled; the fact is only asked if such keys exist.
+    """
     owner = star.owner_of(column)
     if owner is None:
         return star.fact.select(column).distinct()
     dimension = star.dimensions[owner]
-    members = dimension.rows.select(F.col(dimension.key).alias(dimension.fact_key))
-    blank = (
-        star.fact.select(dimension.fact_key).distinct().join(members, dimension.fact_key, "left_anti")
-        .select(F.lit(None).cast(dimension.rows.schema[column].dataType).alias(column))
-    )
-    return dimension.rows.select(column).unionByName(blank).distinct()
+    values = dimension.rows.select(column)
+    members = dimension.side([], dimension.fact_key)
+    orphans = star.key_sources.get(dimension.fact_key, star.fact).select(dimension.fact_key).join(members, dimension.fact_key, "left_anti")
+    if dimension.fact_key in star.key_sources:
+        if orphans.isEmpty():
+            return values.distinct()
+        keys = broadcast_if_small(orphans.distinct().select(F.col(dimension.fact_key).alias("_orphan")))
+        orphans = star.fact.join(keys, star.fact[dimension.fact_key].eqNullSafe(keys["_orphan"]), "left_semi")
+    blank = orphans.limit(1).select(F.lit(None).cast(dimension.rows.schema[column].dataType).alias(column))
+    return values.unionByName(blank).distinct()
 
 
 def _groups(star: Star, by: list[str], bought: DataFrame) -> DataFrame:

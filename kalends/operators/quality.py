@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kalends.functions.scalars import safe_div
+from kalends.operators.distinct import distinct_counts
 
 
 def _stacked(parts: list[DataFrame]) -> DataFrame:
@@ -55,12 +56,7 @@ def reconcile(tables: dict[str, DataFrame], amount: str) -> DataFrame:
 
 def repetition(flat: DataFrame, customer: str, product: str, territory: str) -> DataFrame:
     """How often a flat table repeats its customers and products, in one row."""
-    counts = flat.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count_distinct(customer).alias("customers"),
-        F.count_distinct(product).alias("products"),
-        F.count_distinct(territory).alias("territories"),
-    )
+    counts = distinct_counts(flat, {"customers": [customer], "products": [product], "territories": [territory]})
     return counts.withColumns({
         "rows_per_customer": safe_div("rows", "customers"),
         "rows_per_product": safe_div("rows", "products"),
@@ -75,21 +71,21 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     ])
 
 
-def cardinality(tables: dict[str, tuple[DataFrame, list[str]]], *, approx: bool = False) -> DataFrame:
+def cardinality(
+    tables: dict[str, tuple[DataFrame, list[str]]], *, approx: bool = False, stored: frozenset[str] = frozenset()
+) -> DataFrame:
     """Rows and number of different values of chosen columns, one row per table and column.
 
-    Exact counting of several columns repeats each row per column inside the aggregate;
-    ``approx`` keeps one small sketch per column instead.
+    Exact counts take one narrow pass per column; ``stored`` names the tables whose columns can be read again at little
+    cost, those of the others are written once. ``approx`` keeps one small sketch per column instead.
     """
-    count = F.approx_count_distinct if approx else F.count_distinct
     parts = []
     for table, (df, columns) in tables.items():
+        names = {f"n{i}": [c] for i, c in enumerate(columns)}
         profile = df.agg(
-            F.count(F.lit(1)).alias("rows"), *[count(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(columns)]
-        )
-        per_column = F.array(*[
-            F.struct(F.lit(c).alias("column"), F.col(f"n{i}").alias("values")) for i, c in enumerate(columns)
-        ])
+            F.count(F.lit(1)).alias("rows"), *[F.approx_count_distinct(F.col(f"`{c}`")).alias(n) for n, (c,) in names.items()]
+        ) if approx else distinct_counts(df, names, stored=table in stored)
+        per_column = F.array(*[F.struct(F.lit(c).alias("column"), F.col(n).alias("values")) for n, (c,) in names.items()])
         parts.append(profile.select(F.lit(table).alias("table"), "rows", F.inline(per_column)))
     return _stacked(parts)
 

@@ -44,13 +44,18 @@ def prior_year_days(calendar: DataFrame, periods: Periods, *, single_days: bool
     29th of the year before. Days outside the calendar are left out. One row per period and
     day (``_day``): at most two rows per calendar day.
     """
+    return same_days_last_year(calendar, calendar, _named(periods), single_days=single_days)
+
+
+def same_days_last_year(in_view: DataFrame, calendar: DataFrame, names: list[Column], *, single_days: bool) -> DataFrame:
+    """``names`` of the days ``in_view``, and beside them each day of ``calendar`` (``_day``) one year earlier."""
     shifted = D.previous_year_clamped("Date")
     if single_days:
-        priors = calendar.select(*_named(periods), shifted.alias("_day"))
+        priors = in_view.select(*names, shifted.alias("_day"))
     else:
         ends_month = F.col("Date") == F.last_day("Date")
         until = F.when(ends_month, F.last_day(shifted)).otherwise(shifted)
-        priors = calendar.select(*_named(periods), F.explode(F.sequence(shifted, until)).alias("_day")).distinct()
+        priors = in_view.select(*names, F.explode(F.sequence(shifted, until)).alias("_day")).distinct()
     return priors.join(calendar.select(F.col("Date").alias("_day")), "_day", "left_semi")
 
 
