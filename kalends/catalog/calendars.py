@@ -7,14 +7,17 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kalends.catalog.registry import AS_OF, CAL, query, text, week_sql, whole
+from kalends.catalog.registry import AS_OF, CAL, LINES, query, text, week_sql, whole
 from kalends.functions import dates as D
 from kalends.functions.names import DAYS, MONTHS
-from kalends.operators.calendar import calendar_from, describe_days, small_date_dim, with_calendar_columns
+from kalends.operators.calendar import (
+    OPEN_END, calendar_from, calendar_over, date_dim, describe_days, filled_days, small_date_dim, with_calendar_columns,
+)
 from kalends.operators.filters import today_row
-from kalends.operators.quality import calendar_sanity
-from kalends.plans.star import seller_history, seller_dim
+from kalends.operators.quality import calendar_sanity, days_outside
+from kalends.plans.star import sales_fact, seller_periods
 from kalends.sources import samples
+from kalends.storage import materialise
 
 
 def order_days(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -205,23 +208,61 @@ def auto_calendar_of_shipments(spark, sf_dir):
     """The whole years of a date column, with quarter labels and the lines shipped per day."""
     lines = samples.table(spark, sf_dir, "lineitem")
     shipped = lines.groupBy(F.to_date("l_shipdate").alias("Date")).agg(F.count(F.lit(1)).alias("shipped_lines"))
-    return calendar_from(lines, "l_shipdate", whole_years=True).join(shipped, "Date", "left").select(
+    return filled_days(shipped, whole_years=True).select(
         text("Date", "date"), D.quarter_label("Date").alias("quarter_label"),
-        F.coalesce("shipped_lines", F.lit(0)).alias("shipped_lines"),
+        F.when(F.col("_given"), F.col("shipped_lines")).otherwise(0).alias("shipped_lines"),
     )
 
 
-@query("""WITH e AS (SELECT DATE '2005-01-01' AS desde, DATE '2015-12-31' AS hasta FROM supplier)
-SELECT count(*) AS days, CAST(min(d) AS VARCHAR) AS first_day, CAST(max(d) AS VARCHAR) AS last_day
+@query(f"""WITH {LINES}, p AS (SELECT l_suppkey, t, max(d) AS z FROM lines GROUP BY 1, 2),
+e AS (SELECT z AS hasta FROM p WHERE z < (SELECT max(z) FROM p) - 90)
+SELECT count(*) AS days, CAST(min(d) AS VARCHAR) AS first_day, CAST(max(d) AS VARCHAR) AS last_day,
+       (SELECT count(*) FROM e) AS closed_periods
 FROM (SELECT CAST(unnest(generate_series(CAST(make_date(year(min(hasta)), 1, 1) AS TIMESTAMP),
                                          CAST(make_date(year(max(hasta)), 12, 31) AS TIMESTAMP),
                                          INTERVAL 1 DAY)) AS DATE) AS d FROM e)""")
 def auto_calendar_of_history(spark, sf_dir):
-    """A calendar over the ends of the seller history, which must not run on to the open end in 9999."""
-    history = seller_history(seller_dim(samples.order_entry(spark, sf_dir)))
-    return calendar_from(history, "Hasta", whole_years=True).agg(
+    """A calendar over the ends of the sellers' periods, which must not run on to the open end in 9999."""
+    fact = sales_fact(samples.order_entry(spark, sf_dir))
+    periods = materialise(seller_periods(fact), "periods")  # the sellers' history: read for the bounds and to be counted
+    closed = periods.where(F.col("Hasta") < F.lit(OPEN_END)).agg(F.count(F.lit(1))).scalar()
+    return calendar_from(periods, "Hasta", whole_years=True).agg(
         F.count(F.lit(1)).alias("days"), F.min("Date").cast("string").alias("first_day"),
-        F.max("Date").cast("string").alias("last_day"),
+        F.max("Date").cast("string").alias("last_day"), F.max(closed).alias("closed_periods"),
+    )
+
+
+@query("""WITH days AS (SELECT CAST(unnest(generate_series(TIMESTAMP '1994-01-01', TIMESTAMP '2003-12-31', INTERVAL 1 DAY)) AS DATE) AS d),
+n AS (SELECT CAST(o_orderdate AS DATE) AS d, count(*) AS orders FROM orders GROUP BY 1)
+SELECT year(days.d) + CASE WHEN month(days.d) >= 4 THEN 1 ELSE 0 END AS fiscal_year, (month(days.d) + 8) % 12 // 3 + 1 AS fiscal_quarter,
+       ['Sunday', 'Monday', 'Tuesday', 'Wednesday', 'Thursday', 'Friday', 'Saturday'][dayofweek(days.d) + 1] AS day_name,
+       count(*) AS days, CAST(coalesce(sum(orders), 0) AS BIGINT) AS orders
+FROM days LEFT JOIN n ON n.d = days.d GROUP BY 1, 2, 3""")
+def calendar_by_parameters(spark, sf_dir):
+    """A calendar given by its parameters, with the orders of each fiscal quarter and weekday beside its days."""
+    calendar = date_dim(
+        spark, 1994, 2003, fiscal_start_month=4, lang="en", as_of=AS_OF, columns=["Date", "FiscalYear", "FiscalQuarter", "Day Name"]
+    )
+    orders = samples.table(spark, sf_dir, "orders").groupBy(F.to_date("o_orderdate").alias("Date")).agg(F.count(F.lit(1)).alias("orders"))
+    return calendar.join(orders, "Date", "left").groupBy(
+        whole("FiscalYear", "fiscal_year"), whole("FiscalQuarter", "fiscal_quarter"), F.col("`Day Name`").alias("day_name")
+    ).agg(F.count(F.lit(1)).alias("days"), F.coalesce(F.sum("orders"), F.lit(0)).alias("orders"))
+
+
+@query(f"""WITH {CAL}, b AS (SELECT min(d) AS a, max(d) AS z FROM cal), x AS (
+  SELECT 'orders' AS "table", 'o_orderdate' AS "column", min(CAST(o_orderdate AS DATE)) AS f, max(CAST(o_orderdate AS DATE)) AS l FROM orders
+  UNION ALL SELECT 'lineitem', 'l_shipdate', min(CAST(l_shipdate AS DATE)), max(CAST(l_shipdate AS DATE)) FROM lineitem
+  UNION ALL SELECT 'events', 'ts', min(CAST(ts AS DATE)), max(CAST(ts AS DATE)) FROM events)
+SELECT "table", "column", CAST(f AS VARCHAR) AS first, CAST(l AS VARCHAR) AS last, f >= a AS starts_inside, l <= z AS ends_inside,
+       (SELECT date_diff('day', min(f), max(l)) + 1 FROM x) AS days_of_all
+FROM x, b""")
+def date_bounds_of_all_tables(spark, sf_dir):
+    """First and last day of every date column, whether the order calendar reaches them, and the calendar that would."""
+    tables = {name: samples.table(spark, sf_dir, name) for name in ("orders", "lineitem", "events")}
+    bounds = materialise(days_outside(tables, order_days(spark, sf_dir)), "bounds")
+    days = calendar_over(bounds).agg(F.count(F.lit(1))).scalar()
+    return bounds.select(
+        "table", "column", text("first"), text("last"), "starts_inside", "ends_inside", days.alias("days_of_all")
     )
 
 

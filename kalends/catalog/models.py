@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from kalends.catalog.calendars import order_days
 from kalends.catalog.registry import CAL, LINES, money, query, text, whole
-from kalends.operators.joins import dim_with_history, join_history_naive
+from kalends.operators.distinct import distinct_counts
+from kalends.operators.joins import aggregate_through_join, dim_with_history
 from kalends.operators.numbering import global_row_number
 from kalends.operators.quality import (
     cardinality, correction_impact, date_coverage, duplicate_keys, fanout_audit, reconcile, repetition, row_counts,
@@ -18,7 +17,7 @@ from kalends.plans import star as star_plans
 from kalends.sources import samples
 from kalends.sources.readers import FLAT_SCHEMA, cast_columns, read_flat_csv
 from kalends.sources.sinks import write_table
-from kalends.storage import materialise, shared_folder
+from kalends.storage import Scratch, materialise
 
 # Half-up to four places in whole numbers: neither engine's rounding of a double is involved.
 _UNIT_PRICE = """CAST((200 * CAST(round(l_extendedprice * 100) AS BIGINT) + CAST(l_quantity AS BIGINT))
@@ -177,8 +176,9 @@ def star_from_flat_counts(spark, sf_dir):
 SELECT -1 - l_suppkey AS vendedor_key, count(DISTINCT t) AS rows FROM lines GROUP BY 1 HAVING count(DISTINCT t) > 1""")
 def dimension_key_check(spark, sf_dir):
     """Sellers that come out more than once when their dimension is the distinct rows of the flat table."""
-    sellers = star_plans.star_from_flat(lines_as_flat(spark, sf_dir))["Dim_Vendedor"]
-    return duplicate_keys(sellers, ["VendedorKey"]).select(whole("VendedorKey", "vendedor_key"), "rows")
+    columns = ["VendedorID", "NombreVendedor", "TerritoryID"]
+    sellers = flat_plans.flat_groups(samples.order_entry(spark, sf_dir), columns)
+    return duplicate_keys(sellers, ["VendedorID"]).select(whole("VendedorID", "vendedor_key"), "rows")
 
 
 @query(f"""WITH {LINES}
@@ -187,10 +187,11 @@ SELECT -1 - l_suppkey AS vendedor_key, any_value(replace(s_name, '#', ' ')) AS n
 FROM lines LEFT JOIN supplier ON s_suppkey = l_suppkey GROUP BY 1""")
 def dim_seller_from_flat(spark, sf_dir):
     """The seller dimension from the flat table with one row per key."""
-    sellers = star_plans.star_from_flat(lines_as_flat(spark, sf_dir), unique_sellers=True)["Dim_Vendedor"]
-    return sellers.select(
+    columns = ["VendedorID", "NombreVendedor", "TerritoryID"]
+    sellers = flat_plans.flat_groups(samples.order_entry(spark, sf_dir), columns)
+    return star_plans.keyed_dim(sellers, "VendedorID", ["NombreVendedor", "TerritoryID"], "VendedorKey").select(
         whole("VendedorKey", "vendedor_key"), F.col("NombreVendedor").alias("nombre_vendedor"),
-        whole("TerritorioKey", "territorio_key"),
+        whole("TerritoryID", "territorio_key"),
     )
 
 
@@ -226,10 +227,10 @@ def history_trap_by_period(spark, sf_dir):
     """Sales by the history's own columns after the naive join: every line counted in each period."""
     t = samples.order_entry(spark, sf_dir, territory=False)
     history = star_plans.seller_history(star_plans.seller_dim(t))
-    joined = join_history_naive(star_plans.sales_fact(t), history, "VendedorKey", "VendedorKey")
-    return joined.groupBy(
-        text("HistorialDesde", "desde"), whole("HistorialTerritorioKey", "territorio_historico")
-    ).agg(F.count(F.lit(1)).alias("rows"), money(F.sum("LineTotal"), "total"))
+    summed = aggregate_through_join(
+        star_plans.sales_fact(t), "VendedorKey", history, "VendedorKey", {"total": "LineTotal"}, by_other=["Desde", "TerritorioKey"]
+    )
+    return summed.select(text("Desde", "desde"), whole("TerritorioKey", "territorio_historico"), "rows", money("total"))
 
 
 @query(f"""WITH {LINES}, f AS (SELECT l_suppkey, CAST(sum(amount) AS DOUBLE) AS sales FROM lines GROUP BY 1),
@@ -316,9 +317,14 @@ def star_from_warehouse_totals(spark, sf_dir):
     tables = star_plans.star_from_warehouse(
         samples.warehouse(spark, sf_dir), order_days(spark, sf_dir), LINE_ORDER
     )
-    return tables["Fact_Ventas"].agg(
-        F.count(F.lit(1)).alias("fact_ventas"), F.count_distinct("FechaKey").alias("dias_con_venta"),
-        money(F.sum("LineTotal"), "total"), F.count_distinct("VendedorKey").alias("vendedores"),
+    # one row per seller and day is all that the counts need
+    per_day = materialise(tables["Fact_Ventas"].groupBy("VendedorKey", "FechaKey").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("LineTotal").alias("s")
+    ), "per-day")
+    counts = distinct_counts(per_day, {"dias_con_venta": ["FechaKey"], "vendedores": ["VendedorKey"]}, stored=True)
+    totals = per_day.agg(F.sum("n"), F.sum("s")).toDF("n", "s")
+    return counts.select(
+        totals.select("n").scalar().alias("fact_ventas"), "dias_con_venta", money(totals.select("s").scalar(), "total"), "vendedores"
     )
 
 
@@ -340,7 +346,7 @@ def _flat_summary(flat):
 @query(_FLAT_SUMMARY_SQL)
 def flat_csv_round_trip(spark, sf_dir):
     """The flat table written as CSV and read back with its declared types."""
-    path = f"{shared_folder(spark).rstrip('/')}/flat-csv-{uuid.uuid4().hex}"
+    path = Scratch(spark).folder("flat-csv")
     text_columns = [F.col(f.name).cast("string") for f in FLAT_SCHEMA.fields]
     (lines_as_flat(spark, sf_dir).select(*text_columns)
      .write.option("header", True).option("quote", "").option("emptyValue", "").csv(path))
@@ -350,7 +356,7 @@ def flat_csv_round_trip(spark, sf_dir):
 @query(_FLAT_SUMMARY_SQL)
 def flat_table_round_trip(spark, sf_dir):
     """The flat table written as Parquet, replaced, and read back."""
-    path = f"{shared_folder(spark).rstrip('/')}/flat-{uuid.uuid4().hex}"
+    path = Scratch(spark).folder("flat")
     write_table(lines_as_flat(spark, sf_dir), path)
     return _flat_summary(cast_columns(spark.read.schema(FLAT_SCHEMA).parquet(path), FLAT_SCHEMA))
 
@@ -402,6 +408,7 @@ SELECT value, coalesce(f.n, 0) AS flat_rows, coalesce(g.n, 0) AS dimension_rows
 def correction_of_subcategory(spark, sf_dir):
     """Rows to touch when a subcategory is renamed, in the flat table and in the product dimension."""
     t = samples.order_entry(spark, sf_dir)
-    return correction_impact(flat_plans.flat_from_order_entry(t), star_plans.product_dim(t), "Subcategoria").select(
+    lines = flat_plans.flat_groups(t, ["Subcategoria"])
+    return correction_impact(lines, star_plans.product_dim(t), "Subcategoria", counted="rows").select(
         "value", whole("flat_rows"), whole("dimension_rows")
     )

@@ -29,15 +29,62 @@ DATE_COLUMNS = [
 ]
 
 
+#: The greatest span of a calendar, in years: all years that a date can have.
+MOST_YEARS = 10_000
+#: Years of days that one task makes.
+YEARS_A_TASK = 250
+
+
 def _days(bounds: DataFrame, first: Column, last: Column) -> DataFrame:
-    return bounds.select(F.explode(F.sequence(first, last, F.expr("interval 1 day"))).alias("Date"))
+    """The days from ``first`` to ``last`` of a one-row table; a span of more than ``MOST_YEARS`` stops the query."""
+    too_long = F.year(last) - F.year(first) >= MOST_YEARS
+    checked = F.when(too_long, F.raise_error(F.lit(f"a calendar spans {MOST_YEARS} years at most")).cast("date")).otherwise(last)
+    return bounds.select(F.explode(F.sequence(first, checked, F.expr("interval 1 day"))).alias("Date"))
+
+
+def _date(day: dt.date) -> Column:
+    """The day as a literal; put together from numbers, as years before 1000 have no text that Spark reads."""
+    return F.make_date(F.lit(day.year), F.lit(day.month), F.lit(day.day))
 
 
 def date_range(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:
-    """One ``Date`` row per day from ``start`` to ``end``, both included."""
+    """One ``Date`` row per day from ``start`` to ``end``, both included.
+
+    The span is cut into its years, which are dealt to tasks and spelled out there. It may be as long as dates go, which is
+    ``MOST_YEARS`` years.
+    """
     if end < start:
         raise ValueError(f"the range ends ({end}) before it starts ({start})")
-    return _days(spark.range(1), F.lit(start), F.lit(end))
+    years = end.year - start.year + 1
+    made = spark.range(start.year, end.year + 1, 1, -(-years // YEARS_A_TASK)).select(F.col("id").cast("int").alias("_year"))
+    first = F.greatest(F.make_date("_year", F.lit(1), F.lit(1)), _date(start))
+    last = F.least(F.make_date("_year", F.lit(12), F.lit(31)), _date(end))
+    return made.select(F.explode(F.sequence(first, last, F.expr("interval 1 day"))).alias("Date"))
+
+
+def date_bounds(df: DataFrame, columns: list[str], *, ignore: dt.date | None = OPEN_END) -> DataFrame:
+    """column, first, last of several date columns, from one pass that repeats no row.
+
+    ``ignore`` is the date that stands for "still open". A column without dates has NULL bounds.
+    """
+    def day(c: str) -> Column:
+        value = F.to_date(F.col(f"`{c}`"))
+        return value if ignore is None else F.when(value < F.lit(ignore), value)
+
+    bounds = df.agg(*[f(day(c)).alias(f"{n}{i}") for i, c in enumerate(columns) for n, f in (("first", F.min), ("last", F.max))])
+    return bounds.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(f"first{i}").alias("first"), F.col(f"last{i}").alias("last")) for i, c in enumerate(columns)
+    ])))
+
+
+def calendar_over(bounds: DataFrame, *, lead_months: int = 0, whole_years: bool = False) -> DataFrame:
+    """The days from the least ``first`` to the greatest ``last`` of some bounds (those of ``date_bounds``, of any tables)."""
+    ends = bounds.agg(F.min("first").alias("first"), F.max("last").alias("last"))
+    first, last = F.add_months("first", -lead_months), F.col("last")
+    if whole_years:
+        first = F.make_date(F.year(first), F.lit(1), F.lit(1))
+        last = F.make_date(F.year(last), F.lit(12), F.lit(31))
+    return _days(ends, first, last)
 
 
 def calendar_from(
@@ -54,15 +101,24 @@ def calendar_from(
     ``whole_years`` widens it to January 1st and December 31st. ``ignore`` is the date
     that stands for "still open" and must not stretch the calendar.
     """
-    day = F.to_date(date_col)
-    if ignore is not None:
-        day = F.when(day < F.lit(ignore), day)
-    bounds = fact.agg(F.min(day).alias("first"), F.max(day).alias("last"))
-    first, last = F.add_months("first", -lead_months), F.col("last")
-    if whole_years:
-        first = F.make_date(F.year(first), F.lit(1), F.lit(1))
-        last = F.make_date(F.year(last), F.lit(12), F.lit(31))
-    return _days(bounds, first, last)
+    return calendar_over(date_bounds(fact, [date_col], ignore=ignore), lead_months=lead_months, whole_years=whole_years)
+
+
+def filled_days(per_day: DataFrame, *, whole_years: bool = False) -> DataFrame:
+    """A table with one row per ``Date``, and a row for each day between that it lacks; ``_given`` tells them apart.
+
+    Each row spells out the days up to the next one, so the table is read once and no calendar has to be joined. Columns of
+    added days repeat those of the day before (of the first day, for days before it). A day table has as many rows as days at
+    most, which bounds the one window over it.
+    """
+    order = Window.orderBy("Date")
+    placed = per_day.withColumns({"_next": F.lead("Date").over(order), "_is_first": F.lag("Date").over(order).isNull()})
+    new_year, new_years_eve = (F.make_date(F.year("Date"), F.lit(m), F.lit(d)) for m, d in ((1, 1), (12, 31)))
+    start = F.when(F.col("_is_first"), new_year).otherwise(F.col("Date")) if whole_years else F.col("Date")
+    end = F.coalesce(F.date_sub("_next", 1), new_years_eve if whole_years else F.col("Date"))
+    spelled = placed.withColumn("_day", F.explode(F.sequence(start, end, F.expr("interval 1 day"))))
+    others = [F.col(f"`{c}`") for c in per_day.columns if c != "Date"]
+    return spelled.select(F.col("_day").alias("Date"), *others, (F.col("_day") == F.col("Date")).alias("_given"))
 
 
 def _relative(value: Column, today: Column, unit: str) -> Column:

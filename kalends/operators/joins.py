@@ -135,6 +135,36 @@ def join_history_naive(flat: DataFrame, history: DataFrame, flat_key: str, histo
     return flat.join(periods, flat[flat_key] == periods[f"Historial{history_key}"])
 
 
+def aggregate_through_join(
+    fact: DataFrame, fact_key: str, other: DataFrame, other_key: str, sums: dict[str, str], *,
+    by_fact: list[str] | None = None, by_other: list[str] | None = None, count: str = "rows", how: str = "inner",
+) -> DataFrame:
+    """Row count and sums over an equality join, by columns of both sides, without making the join's rows.
+
+    ``sums`` names the result and the column of ``fact`` to be summed. Each side is reduced per key (and its own grouping
+    columns) first; a key's sums are then multiplied by its number of partners. The join meets one row per key and
+    group of either side, however often a key occurs.
+    """
+    by_fact, by_other = by_fact or [], by_other or []
+    left = fact.groupBy(F.col(fact_key).alias("_key"), *[F.col(c).alias(f"_f{i}") for i, c in enumerate(by_fact)]).agg(
+        F.count(F.lit(1)).alias("_rows"), *[F.sum(c).alias(f"_s{i}") for i, c in enumerate(sums.values())]
+    )
+    right = other.groupBy(F.col(other_key).alias("_key"), *[F.col(c).alias(f"_o{i}") for i, c in enumerate(by_other)]).agg(
+        F.count(F.lit(1)).alias("_partners")
+    )
+    partners = F.coalesce("_partners", F.lit(1))  # a left join keeps a row without a partner once
+
+    def times(column: str) -> Column:
+        product = F.col(column) * partners
+        return product.cast("decimal(38,4)") if left.schema[column].dataType.typeName() == "decimal" else product
+
+    groups = [F.col(f"_f{i}").alias(c) for i, c in enumerate(by_fact)] + [F.col(f"_o{i}").alias(c) for i, c in enumerate(by_other)]
+    return left.join(right, "_key", how).groupBy(*groups).agg(
+        F.coalesce(F.sum(F.col("_rows") * partners), F.lit(0)).alias(count),
+        *[F.sum(times(f"_s{i}")).alias(name) for i, name in enumerate(sums)],
+    )
+
+
 def dim_with_history(dimension: DataFrame, history: DataFrame, key: str) -> DataFrame:
     """Hang a history on its dimension: one row per member and period, members without one kept.
 

@@ -52,18 +52,14 @@ def assign_round_robin(
 
     Row 1 goes to the first member, row 2 to the second, and after the last member the
     first is next. The member's key lands in column ``name``. Slots receive equally many
-    rows, so the join on the slot cannot be skewed. Members few enough to be broadcast are
-    numbered by a plain window, more of them the way the fact is.
+    rows, so the join on the slot cannot be skewed. Members are numbered the way the rows are, from the counts of
+    their partitions, however many there are.
     """
-    keys = members.select(F.col(member_key).alias(name))
-    count = keys.count()
-    if count <= BROADCAST_ROWS:
-        slots = F.broadcast(keys.withColumn("_slot", F.row_number().over(Window.orderBy(name))))
-    else:
-        slots = global_row_number(keys, [name], "_slot")
+    slots = global_row_number(members.select(F.col(member_key).alias(name)), [name], "_slot")
+    count = slots.count()
     numbered = global_row_number(fact, fact_order, "_number")
     return (
         numbered.withColumn("_slot", bucket_of("_number", count))
-        .join(slots, "_slot")
+        .join(F.broadcast(slots) if count <= BROADCAST_ROWS else slots, "_slot")
         .drop("_slot", "_number")
     )

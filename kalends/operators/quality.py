@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kalends.functions.scalars import safe_div
+from kalends.operators.calendar import date_bounds
 from kalends.operators.distinct import distinct_counts
+from kalends.operators.joins import aggregate_through_join
 
 
 def _stacked(parts: list[DataFrame]) -> DataFrame:
@@ -142,13 +144,31 @@ def calendar_sanity(calendar: DataFrame, as_of: dt.date) -> DataFrame:
     )
 
 
-def correction_impact(flat: DataFrame, dimension: DataFrame, column: str) -> DataFrame:
-    """Rows to rewrite when a value of ``column`` is corrected, in the flat table and in the dimension."""
-    def per_value(df: DataFrame, name: str) -> DataFrame:
-        return df.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias(name))
+def correction_impact(flat: DataFrame, dimension: DataFrame, column: str, *, counted: str | None = None) -> DataFrame:
+    """Rows to rewrite when a value of ``column`` is corrected, in the flat table and in the dimension.
 
-    both = per_value(flat, "flat_rows").unionByName(per_value(dimension, "dimension_rows"), allowMissingColumns=True)
+    ``counted`` names a column of ``flat`` that says how many rows of the flat table each of its rows stands for.
+    """
+    def per_value(df: DataFrame, name: str, rows: str | None = None) -> DataFrame:
+        return df.groupBy(F.col(column).alias("value")).agg((F.sum(rows) if rows else F.count(F.lit(1))).alias(name))
+
+    both = per_value(flat, "flat_rows", counted).unionByName(per_value(dimension, "dimension_rows"), allowMissingColumns=True)
     return both.groupBy("value").agg(
         F.coalesce(F.sum("flat_rows"), F.lit(0)).alias("flat_rows"),
         F.coalesce(F.sum("dimension_rows"), F.lit(0)).alias("dimension_rows"),
     )
+
+
+def days_outside(tables: dict[str, DataFrame], calendar: DataFrame) -> DataFrame:
+    """table, column, first, last of every date column, and whether the calendar reaches that far on either side.
+
+    One pass per table, however many date columns it has; the calendar's own bounds are one row.
+    """
+    reach = calendar.agg(F.min("Date").alias("from"), F.max("Date").alias("to"))
+    start, end = reach.select("from").scalar(), reach.select("to").scalar()
+    return _stacked([
+        date_bounds(df, date_columns(df)).select(F.lit(name).alias("table"), "*")
+        for name, df in tables.items() if date_columns(df)
+    ]).withColumns({
+        "starts_inside": F.col("first") >= start, "ends_inside": F.col("last") <= end,
+    })

@@ -70,6 +70,53 @@ def flat_from_order_entry(t: Tables) -> DataFrame:
     )
 
 
+# Columns of the wide table that follow from a key of the line or its order.
+_FOLLOWS = {
+    "SalesPersonID": ["VendedorID", "NombreVendedor"],
+    "CustomerID": ["CustomerID", "FirstName", "LastName", "NombreCliente"],
+    "TerritoryID": ["TerritoryID", "Territorio", "CountryRegionCode"],
+    "ProductID": ["ProductID", "Producto", "Color", "StandardCost", "ListPrice", "Subcategoria", "Categoria"],
+}
+
+
+def flat_groups(t: Tables, columns: list[str]) -> DataFrame:
+    """The combinations of some descriptive columns in the flat table, and the ``rows`` of each; the table is not built.
+
+    Lines are counted per key first: only the dimensions that own one of the columns are joined, to one row per combination
+    of keys. Lines that the flat table leaves out, for want of a customer, territory or product, are left out here.
+    Dimension keys must be unique.
+    """
+    key_of = {c: key for key, owned in _FOLLOWS.items() for c in owned}
+    unknown = [c for c in columns if c not in key_of]
+    if unknown:
+        raise ValueError(f"{unknown} do not follow from a key; there are {sorted(key_of)}")
+    keys = list(dict.fromkeys(key_of[c] for c in columns))
+    orders = t["headers"].join(t["customers"].select("CustomerID"), "CustomerID", "left_semi").join(
+        broadcast_if_small(t["territories"].select("TerritoryID")), "TerritoryID", "left_semi"
+    )
+    lines = t["lines"].join(broadcast_if_small(t["products"].select("ProductID")), "ProductID", "left_semi")
+    of_line = [k for k in keys if k in t["lines"].columns]
+    of_order = [k for k in keys if k not in of_line]
+    grouped = join_growing(
+        lines.select("SalesOrderID", *of_line), orders.select("SalesOrderID", *of_order), "SalesOrderID"
+    ).groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
+    sides = {
+        "SalesPersonID": lambda: person_names(t["people"], "SalesPersonID", "NombreVendedor").withColumn("VendedorID", F.col("SalesPersonID")),
+        "CustomerID": lambda: t["customers"].join(
+            t["people"].select(F.col("BusinessEntityID").alias("PersonID"), "FirstName", "LastName"), "PersonID", "left"
+        ).withColumn("NombreCliente", full_name("FirstName", "LastName")),
+        "TerritoryID": lambda: t["territories"].withColumnRenamed("Name", "Territorio"),
+        "ProductID": lambda: flatten_products(t["products"], t["subcategories"], t["categories"]),
+    }
+    for key in keys:
+        owned = [c for c in columns if key_of[c] == key and c not in (key, "VendedorID")]
+        if owned:
+            grouped = grouped.join(sides[key]().select(key, *owned), key, "left")
+    if "VendedorID" in columns:
+        grouped = grouped.withColumn("VendedorID", F.col("SalesPersonID"))
+    return grouped.groupBy(*columns).agg(F.sum("rows").alias("rows"))
+
+
 def salespeople(employees: DataFrame, *, default_territory: int | None = None) -> DataFrame:
     """One row per salesperson with name and highest territory key."""
     territory = F.max("SalesTerritoryKey")
@@ -94,8 +141,16 @@ def sales_with_sellers(sales: DataFrame, employees: DataFrame, order_by: list[st
     return assign_round_robin(sales, order_by, salespeople(employees), "VendedorKey", "VendedorKey")
 
 
-def flat_from_warehouse(t: Tables, order_by: list[str] | None = None) -> DataFrame:
-    """The 23-column flat table of a warehouse whose fact has no seller."""
+def deal_sellers(t: Tables, order_by: list[str] | None = None) -> DataFrame:
+    """A warehouse's lines with their dealt sellers, for the flat table and the star alike.
+
+    The numbered lines are stored once; every model that is given this result reads them from there.
+    """
+    return sales_with_sellers(t["sales"], t["employees"], order_by)
+
+
+def flat_from_warehouse(t: Tables, order_by: list[str] | None = None, *, dealt: DataFrame | None = None) -> DataFrame:
+    """The 23-column flat table of a warehouse whose fact has no seller; ``dealt`` as in ``star_from_warehouse``."""
     customers = t["customers"].select(
         F.col("CustomerKey").alias("ClienteID"),
         full_name("FirstName", "LastName", null_as_empty=True).alias("NombreCliente"),
@@ -109,7 +164,7 @@ def flat_from_warehouse(t: Tables, order_by: list[str] | None = None) -> DataFra
         F.col("EmployeeKey").alias("VendedorID"),
         full_name("FirstName", "LastName", null_as_empty=True).alias("NombreVendedor"),
     )
-    lines = sales_with_sellers(t["sales"], t["employees"], order_by).withColumnsRenamed({
+    lines = (deal_sellers(t, order_by) if dealt is None else dealt).withColumnsRenamed({
         "CustomerKey": "ClienteID", "SalesTerritoryKey": "TerritorioID", "ProductKey": "ProductoID",
         "VendedorKey": "VendedorID", "OrderQuantity": "OrderQty", "UnitPriceDiscountPct": "UnitPriceDiscount",
         "SalesAmount": "LineTotal",

@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from kalends.functions.dates import date_key
 from kalends.functions.scalars import full_name
 from kalends.operators.calendar import OPEN_END, small_date_dim
+from kalends.operators.filters import within_keys
 from kalends.operators.joins import Dimension, Star, join_growing
 from kalends.plans.flat import (
-    Tables, flatten_products, person_names, sales_with_sellers, salespeople, warehouse_snowflake,
+    Tables, deal_sellers, flatten_products, person_names, salespeople, warehouse_snowflake,
 )
 
 _PRODUCT_COLUMNS = ["ProductoKey", "Producto", "Color", "StandardCost", "ListPrice", "Subcategoria", "Categoria"]
@@ -65,13 +66,15 @@ def sales_fact(t: Tables) -> DataFrame:
     return renamed.select(*[c for c in wanted if c in renamed.columns])
 
 
-def order_totals(t: Tables, keep: list[str] | None = None) -> DataFrame:
+def order_totals(t: Tables, keep: list[str] | None = None, *, selective: bool = False) -> DataFrame:
     """Sales per order (and ``keep`` columns of its lines), with the header's columns beside them.
 
     For measures that can be summed this stands in for the fact. Lines are summed per order
     before they meet the headers, so the join sees every order once, however many lines it has.
+    ``selective`` says that the headers are filtered: their keys then filter the lines while these are scanned.
     """
-    per_order = t["lines"].groupBy("SalesOrderID", *(keep or [])).agg(
+    lines = within_keys(t["lines"], "SalesOrderID", t["headers"].select("SalesOrderID")) if selective else t["lines"]
+    per_order = lines.groupBy("SalesOrderID", *(keep or [])).agg(
         F.sum("LineTotal").alias("LineTotal"), F.count(F.lit(1)).alias("Lineas")
     )
     return join_growing(per_order, t["headers"], "SalesOrderID").withColumnsRenamed({
@@ -94,17 +97,26 @@ def star_from_order_entry(t: Tables, calendar: DataFrame, dimensions: list[str]
             seller_dim(t).drop("TerritorioKey"), "VendedorKey", "VendedorKey", counted=t["sellers"]
         ),
     }
-    return Star(sales_fact(t), {name: plans[name]() for name in dimensions or plans})
+    # Every fact row has its header's customer: the headers can be asked instead of the lines.
+    keys = {"ClienteKey": t["headers"].select(F.col("CustomerID").alias("ClienteKey"))}
+    return Star(sales_fact(t), {name: plans[name]() for name in dimensions or plans}, key_sources=keys)
 
 
-def star_from_warehouse(t: Tables, days: DataFrame, order_by: list[str] | None = None) -> Tables:
-    """The star's tables from a warehouse, with sellers dealt to the lines in turn."""
-    lines = sales_with_sellers(t["sales"], t["employees"], order_by).withColumn("FechaKey", date_key("OrderDate"))
+def star_from_warehouse(
+    t: Tables, days: DataFrame, order_by: list[str] | None = None, *,
+    default_territory: int | None = None, dealt: DataFrame | None = None,
+) -> Tables:
+    """The star's tables from a warehouse, with sellers dealt to the lines in turn.
+
+    ``dealt`` are lines that already have their seller (``deal_sellers``), so that other models can share them. Salespeople
+    without a territory get ``default_territory``.
+    """
+    lines = (deal_sellers(t, order_by) if dealt is None else dealt).withColumn("FechaKey", date_key("OrderDate"))
     fact = lines.withColumnsRenamed({
         "CustomerKey": "ClienteKey", "SalesTerritoryKey": "TerritorioKey", "ProductKey": "ProductoKey",
         "OrderQuantity": "OrderQty", "UnitPriceDiscountPct": "UnitPriceDiscount", "SalesAmount": "LineTotal",
     }).select(*_FACT_COLUMNS)
-    sellers = salespeople(t["employees"])
+    sellers = salespeople(t["employees"], default_territory=default_territory)
     return {
         "Fact_Ventas": fact,
         "Dim_Fecha": small_date_dim(days),
@@ -179,3 +191,16 @@ def seller_history(
 
     before = period(F.lit(first_territory), opened, changed - dt.timedelta(days=1))
     return before.unionByName(period(F.col("TerritorioKey"), changed, OPEN_END))
+
+
+def seller_periods(fact: DataFrame, *, open_days: int = 90) -> DataFrame:
+    """When each seller sold in each territory: a row per seller and territory, from the first to the last order date.
+
+    A period that ends less than ``open_days`` before the last order of all is still open and ends on 9999-12-31. One
+    aggregate over the fact; the last order of all is read off its result.
+    """
+    day = F.to_date("OrderDate")
+    spans = fact.groupBy("VendedorKey", "TerritorioKey").agg(F.min(day).alias("Desde"), F.max(day).alias("_last"))
+    latest = spans.agg(F.max("_last")).scalar()
+    closed = F.col("_last") < F.date_sub(latest, open_days)
+    return spans.withColumn("Hasta", F.when(closed, F.col("_last")).otherwise(F.lit(OPEN_END))).drop("_last")

@@ -3,17 +3,26 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``, or a folder in the session's warehouse where that is unset.
+    """The folder of ``spark.checkpoint.dir``, which the driver and every executor share.
 
-    Both are shared by the driver and every executor; no folder of one machine is ever used.
+    Only a local session may leave it unset; it then gets a folder in its warehouse. A session on a cluster is refused
+    without it unless the warehouse itself is in a shared store, so no folder of one machine is ever used there.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return (folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/kalends-scratch").rstrip("/")
+    if folder:
+        return folder.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    on_this_machine = warehouse.startswith("file:") or ":" not in warehouse
+    if on_this_machine and not spark.sparkContext.master.startswith(("local[", "local-cluster")) and spark.sparkContext.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return f"{warehouse}/kalends-scratch"
 
 
 def _path(spark: SparkSession, folder: str):
@@ -21,6 +30,30 @@ def _path(spark: SparkSession, folder: str):
     return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+#: Folders written so far, in order; ``temporary`` drops those written inside its block.
+_WRITTEN: list[str] = []
+
+
+@contextmanager
+def temporary(spark: SparkSession, *, keep: Callable[[str], bool] = lambda folder: False) -> Iterator[None]:
+    """Drop the intermediate tables written inside the block when it ends, but those whose folder ``keep`` accepts.
+
+    For results that are written out or counted inside the block: a lazy result that leaves it has lost its tables.
+    """
+    before = len(_WRITTEN)
+    try:
+        yield
+    finally:
+        written = _WRITTEN[before:]
+        del _WRITTEN[before:]
+        for name in written:
+            if keep(name):
+                _WRITTEN.append(name)
+            else:
+                path, system = _path(spark, name)
+                system.delete(path, True)
+
+
 class Scratch:
     """Tables written to the shared folder for as long as they are needed.
 
@@ -39,6 +72,7 @@ class Scratch:
         path, system = _path(self.spark, name)
         system.deleteOnExit(path)
         self.folders.append(name)
+        _WRITTEN.append(name)
         return name
 
     def keep(self, df: DataFrame, label: str) -> DataFrame:
