@@ -1,6 +1,6 @@
 """Remove long byte strings that occur more than once, by maximal repeats of an enhanced suffix array.
 
-A string of 400 bytes contains 337 substrings of 64 bytes; the one with the least hash (the last of equal
+A string of 400 bytes (the least length is a parameter) contains 337 substrings of 64 bytes; the one with the least hash (the last of equal
 ones) is its anchor. Equal strings have equal anchors at equal places, so all occurrences of a repeat meet in
 the group of their anchor, and only anchors that occur twice in the corpus need a look. An occurrence brings
 its context: the bytes of all 400-byte strings it is the anchor of.
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from kalends.storage import Scratch
 
-#: Bytes that a removed string has at least, and bytes of an anchor.
+#: Bytes that a removed string has at least unless the caller says otherwise, and bytes of an anchor.
 LENGTH = 400
 ANCHOR = 64
 #: Groups with more different contexts than this are divided, by bands of so many starts, one after the other.
@@ -36,7 +36,6 @@ BANDS = (32, 4, 1)
 SLICE = 1 << 20
 
 _STEPS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)]
-_NOTHING = hashlib.sha256(b"").hexdigest()
 
 
 def _anchor_hashes(raw: np.ndarray) -> np.ndarray:
@@ -48,15 +47,15 @@ def _anchor_hashes(raw: np.ndarray) -> np.ndarray:
     return h
 
 
-def anchors(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def anchors(raw: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """hash, place, first and last start of the strings, for every anchor of a text in order."""
     found: list[tuple] = []
-    starts = len(raw) - LENGTH + 1
+    starts = len(raw) - length + 1
     for low in range(0, starts, SLICE):
         high = min(low + SLICE, starts)
-        h = _anchor_hashes(raw[low: high + LENGTH - 1])
+        h = _anchor_hashes(raw[low: high + length - 1])
         value, place = h, np.arange(len(h), dtype=np.int32)
-        span, width = LENGTH - ANCHOR + 1, 1
+        span, width = length - ANCHOR + 1, 1
         while width < span:  # least of ``width`` neighbours, the right one of equals
             move = min(width, span - width)
             later = value[move:] <= value[:-move]
@@ -78,7 +77,7 @@ DESCRIBED = pa.schema([
 ])
 
 
-def _described(documents: DataFrame) -> DataFrame:
+def _described(documents: DataFrame, length: int) -> DataFrame:
     """doc_id, key (sha-256 of the text), n_bytes, the distinct anchors and what the text itself repeats."""
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
@@ -87,8 +86,8 @@ def _described(documents: DataFrame) -> DataFrame:
                     rows = []
                     for doc_id, text in zip(*batch.slice(at, 256).columns):
                         raw = (text.as_py() or "").encode()
-                        found = anchors(np.frombuffer(raw, np.uint8))
-                        own = [{"start": low, "end": high} for low, high in _own_repeats(raw, *found)]
+                        found = anchors(np.frombuffer(raw, np.uint8), length)
+                        own = [{"start": low, "end": high} for low, high in _own_repeats(raw, length, *found)]
                         rows.append((doc_id.as_py(), hashlib.sha256(raw).hexdigest(), len(raw), np.unique(found[0]), own))
                     yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows), DESCRIBED)], schema=DESCRIBED)
 
@@ -96,7 +95,7 @@ def _described(documents: DataFrame) -> DataFrame:
     return documents.mapInArrow(describe, schema)
 
 
-def _own_repeats(raw: bytes, hashes, places, firsts, lasts) -> list[tuple[int, int]]:
+def _own_repeats(raw: bytes, length: int, hashes, places, firsts, lasts) -> list[tuple[int, int]]:
     """Runs of strings that a text holds twice."""
     values, counts = np.unique(hashes, return_counts=True)
     if len(values) == len(hashes):
@@ -104,7 +103,7 @@ def _own_repeats(raw: bytes, hashes, places, firsts, lasts) -> list[tuple[int, i
     groups: dict[int, dict[tuple[int, bytes], list[int]]] = {}
     for i in np.flatnonzero(np.isin(hashes, values[counts > 1])).tolist():
         first = int(firsts[i])
-        context = (int(places[i]) - first, raw[first: int(lasts[i]) + LENGTH])
+        context = (int(places[i]) - first, raw[first: int(lasts[i]) + length])
         groups.setdefault(int(hashes[i]), {}).setdefault(context, []).append(first)
     spans = []
     for same in groups.values():
@@ -113,7 +112,7 @@ def _own_repeats(raw: bytes, hashes, places, firsts, lasts) -> list[tuple[int, i
             if len(starts) > 1:
                 spans += [(start, start + len(context)) for start in starts]
         if len(contexts) > 1:
-            spans += [(same[contexts[n]][0] + low, same[contexts[n]][0] + high) for n, low, high in maximal_repeats(contexts)]
+            spans += [(same[contexts[n]][0] + low, same[contexts[n]][0] + high) for n, low, high in maximal_repeats(contexts, length)]
     return merge(spans)
 
 
@@ -124,7 +123,7 @@ CONTEXT = pa.schema([
 CONTEXT_COLUMNS = "anchor long, digest binary, holder long, key string, start long, left int, context binary"
 
 
-def _contexts(texts: DataFrame) -> DataFrame:
+def _contexts(texts: DataFrame, length: int) -> DataFrame:
     """The different contexts of the anchors in ``shared``, from (key, text, shared).
 
     ``holder`` is the number of the text in short: the first bytes of its key.
@@ -137,11 +136,11 @@ def _contexts(texts: DataFrame) -> DataFrame:
                 for key, text, shared in zip(*batch.columns):
                     raw, key = text.as_py().encode(), key.as_py()
                     holder = int.from_bytes(bytes.fromhex(key[:16]), "big", signed=True)
-                    found = anchors(np.frombuffer(raw, np.uint8))
+                    found = anchors(np.frombuffer(raw, np.uint8), length)
                     chosen = np.isin(found[0], shared.values.to_numpy(zero_copy_only=False))
                     seen = set()
                     for anchor, at, low, high in zip(*(x[chosen].tolist() for x in found)):
-                        context = raw[low: high + LENGTH]
+                        context = raw[low: high + length]
                         digest = xxhash.xxh3_128_digest(context, seed=at - low)
                         if (anchor, digest) not in seen:
                             seen.add((anchor, digest))
@@ -185,7 +184,7 @@ def intervals(prefixes: list[int]) -> Iterator[tuple[int, int, int]]:
             stack.append((value, first))
 
 
-def maximal_repeats(contexts: list[tuple[int, bytes]]) -> Iterator[tuple[int, int, int]]:
+def maximal_repeats(contexts: list[tuple[int, bytes]], length: int = LENGTH) -> Iterator[tuple[int, int, int]]:
     """(context number, first, end) of every occurrence of every maximal repeat that holds the anchor.
 
     A context is (bytes left of the anchor, bytes). Places count from the context's start.
@@ -194,7 +193,7 @@ def maximal_repeats(contexts: list[tuple[int, bytes]]) -> Iterator[tuple[int, in
     lefts = [c[:left][::-1] for left, c in contexts]
     if len(contexts) == 2:
         left, right = common_prefix(*lefts), common_prefix(*rights)
-        if left + right >= LENGTH:
+        if left + right >= length:
             for n in (0, 1):
                 yield n, contexts[n][0] - left, contexts[n][0] + right
         return
@@ -206,14 +205,14 @@ def maximal_repeats(contexts: list[tuple[int, bytes]]) -> Iterator[tuple[int, in
     agree = np.array([common_prefix(lefts[a], lefts[b]) for a, b in zip(by_left, by_left[1:])], np.int64)
     longest = int(agree.max())
     for right, first, last in intervals(prefixes):
-        if right + longest < LENGTH:
+        if right + longest < length:
             continue
         # Members by what stands to their left; neighbours agree on the least of the steps between them.
         ranks = np.sort(rank[order[first: last + 1]])
         steps = np.minimum.reduceat(agree[: ranks[-1]], ranks[:-1])
         extent = np.maximum(np.concatenate([[0], steps]), np.concatenate([steps, [0]]))
         for r, left in zip(ranks.tolist(), extent.tolist()):
-            if left + right >= LENGTH:
+            if left + right >= length:
                 n = by_left[r]
                 yield n, contexts[n][0] - left, contexts[n][0] + right
 
@@ -221,7 +220,7 @@ def maximal_repeats(contexts: list[tuple[int, bytes]]) -> Iterator[tuple[int, in
 SPANS = "key string, start long, end long"
 
 
-def _grouped_spans(grouped: DataFrame) -> DataFrame:
+def _grouped_spans(grouped: DataFrame, length: int) -> DataFrame:
     """Spans of maximal repeats in groups of one anchor each, from (anchor, key, start, left, context)."""
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         anchor, group = None, []
@@ -230,7 +229,7 @@ def _grouped_spans(grouped: DataFrame) -> DataFrame:
         def finish():
             if len(group) > 1:
                 best = {}
-                for n, low, high in maximal_repeats([(left, c) for _, _, left, c in group]):
+                for n, low, high in maximal_repeats([(left, c) for _, _, left, c in group], length):
                     best.setdefault(n, set()).add((low, high))
                 for n, spans in best.items():
                     key, start = group[n][:2]
@@ -256,7 +255,7 @@ def _grouped_spans(grouped: DataFrame) -> DataFrame:
     return grouped.select(*columns).repartition("anchor").sortWithinPartitions("anchor", "key", "start").mapInArrow(scan, SPANS)
 
 
-def _banded(large: DataFrame, width: int) -> DataFrame:
+def _banded(large: DataFrame, width: int, length: int) -> DataFrame:
     """Contexts cut into bands of ``width`` starts, grouped by what all strings of the band have in common.
 
     Equal strings start equally far before the anchor, so they are in the same band and share these bytes.
@@ -266,20 +265,20 @@ def _banded(large: DataFrame, width: int) -> DataFrame:
             for at in range(0, batch.num_rows, 256):
                 rows = []
                 for anchor, holder, key, start, left, context in zip(*(c.to_pylist() for c in batch.slice(at, 256).columns)):
-                    nearest = left - (len(context) - LENGTH)  # the last string starts so far before the anchor
+                    nearest = left - (len(context) - length)  # the last string starts so far before the anchor
                     for band in range(nearest // width, left // width + 1):
                         first = left - min(left, band * width + width - 1)
                         last = left - max(nearest, band * width)
-                        inner = context[left - band * width: left - band * width + LENGTH - width + 1] if band * width <= left else b""
+                        inner = context[left - band * width: left - band * width + length - width + 1] if band * width <= left else b""
                         group = xxhash.xxh3_64_intdigest(inner, seed=(anchor + band * width) & 0xFFFFFFFFFFFFFFFF)
-                        part = context[first: last + LENGTH]
+                        part = context[first: last + length]
                         rows.append((group - (1 << 63), xxhash.xxh3_128_digest(part, seed=left - first), holder, key, start + first, left - first, part))
                 yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows), CONTEXT)], schema=CONTEXT)
 
     return large.select("anchor", "holder", "key", "start", "left", "context").mapInArrow(cut, CONTEXT_COLUMNS)
 
 
-def _spans(contexts: DataFrame, scratch: Scratch, bands: tuple[int, ...]) -> DataFrame:
+def _spans(contexts: DataFrame, scratch: Scratch, bands: tuple[int, ...], length: int) -> DataFrame:
     """Spans of all strings that different texts share, from contexts.
 
     Equal contexts are repeats as a whole. Groups of up to ``SORTED`` different ones are sorted; larger ones are
@@ -297,20 +296,22 @@ def _spans(contexts: DataFrame, scratch: Scratch, bands: tuple[int, ...]) -> Dat
     ones = distinct.drop("other").join(sizes, "anchor")
     groups = contexts.join(ones, ["anchor", "digest", "holder"]).dropDuplicates(["anchor", "digest", "holder"])
     groups = scratch.keep(groups.select("anchor", "holder", "key", "start", "left", "context", "size"), "groups")
-    found = whole.union(_grouped_spans(groups.where(F.col("size") <= SORTED)))
+    found = whole.union(_grouped_spans(groups.where(F.col("size") <= SORTED), length))
     large = groups.where(F.col("size") > SORTED)
     if large.isEmpty():
         return found
-    return found.union(_spans(scratch.keep(_banded(large, bands[0]), "bands"), scratch, bands[1:]))
+    return found.union(_spans(scratch.keep(_banded(large, bands[0], length), "bands"), scratch, bands[1:], length))
 
 
-def repeated_spans(documents: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+def repeated_spans(documents: DataFrame, scratch: Scratch, length: int = LENGTH) -> tuple[DataFrame, DataFrame]:
     """The described rows (doc_id, key, n_bytes, copies), and the spans (key, start, end) of repeats.
 
     Spans are of texts without copies; a text with copies is a repeat as a whole if it is long enough.
     """
-    described = scratch.keep(_described(documents), "described")
-    long = described.where(F.col("n_bytes") >= LENGTH)
+    if length <= ANCHOR:
+        raise ValueError(f"repeats must be longer than an anchor of {ANCHOR} bytes, not {length}")
+    described = scratch.keep(_described(documents, length), "described")
+    long = described.where(F.col("n_bytes") >= length)
     texts = scratch.keep(long.groupBy("key").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("rep")), "texts")
     chosen = texts.select(F.col("key").alias("_key"), "rep")
     is_chosen = lambda df: (df["key"] == chosen["_key"]) & df["doc_id"].eqNullSafe(chosen["rep"])
@@ -319,13 +320,13 @@ def repeated_spans(documents: DataFrame, scratch: Scratch) -> tuple[DataFrame, D
     shared = listed.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
     wanted = listed.join(shared, "anchor", "left_semi").groupBy("key").agg(F.collect_list("anchor").alias("shared"))
     wanted = wanted.join(chosen, F.col("key") == F.col("_key")).select("_key", "rep", "shared")
-    keyed = documents.where(F.octet_length("text") >= LENGTH).select(F.sha2("text", 256).alias("key"), "doc_id", "text")
+    keyed = documents.where(F.octet_length("text") >= length).select(F.sha2("text", 256).alias("key"), "doc_id", "text")
     whole_texts = keyed.join(wanted, (keyed["key"] == wanted["_key"]) & keyed["doc_id"].eqNullSafe(wanted["rep"]))
-    contexts = scratch.keep(_contexts(whole_texts.select("key", "text", "shared")), "contexts")
+    contexts = scratch.keep(_contexts(whole_texts.select("key", "text", "shared"), length), "contexts")
 
     own = described.where(F.size("own") > 0).select("key", F.inline("own"))
     single = texts.where("copies = 1").select("key")
-    spans = _spans(contexts, scratch, BANDS).union(own).join(single, "key", "left_semi")
+    spans = _spans(contexts, scratch, BANDS, length).union(own).join(single, "key", "left_semi")
     rows = described.drop("anchors", "own").join(texts.select("key", "copies"), "key", "left")
     return rows, spans
 
@@ -368,53 +369,59 @@ def _whole_characters(raw: bytes, spans: list[dict]) -> str:
     return b"".join([*kept, raw[at:]]).decode()
 
 
-def removal(documents: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every document.
+REMOVED = pa.schema([
+    ("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
+    ("kept_sha256", pa.string()), ("text", pa.string()),
+])
+
+
+def removal(documents: DataFrame, length: int = LENGTH) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and the remaining text of every document.
+
+    The hash is that of the remaining bytes; ``text`` keeps characters of which a run covers some bytes only, so that it
+    stays text.
 
-    Defined cases: a null text is empty; texts under ``LENGTH`` bytes lose nothing; repeated rows and equal
+    Defined cases: a null text is empty; texts under ``length`` bytes lose nothing; repeated rows and equal
     texts of that length lose everything; an empty table gives no rows; columns other than doc_id and
     text are ignored.
     """
     scratch = Scratch(documents.sparkSession)
-    documents = documents.select(F.col("doc_id").cast("long"), "text")
-    rows, spans = repeated_spans(documents, scratch)
-    runs = _runs_of_text(scratch, spans)
+    documents = documents.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
+    changes = _changes(documents, scratch, length)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            removed, counts, digests = [], [], []
-            for text, spans in zip(batch.column(1), batch.column(2)):
-                raw = text.as_py().encode()
-                found, kept = _cut_out(raw, spans.as_py())
-                removed.append(len(raw) - len(kept))
-                counts.append(len(found))
-                digests.append(hashlib.sha256(kept).hexdigest())
-            yield pa.record_batch([batch.column(0), pa.array(removed, pa.int64()), pa.array(counts, pa.int64()), pa.array(digests, pa.string())], ["key", "n_removed", "n_spans", "kept_sha256"])
-
-    partly = (
-        documents.select(F.sha2("text", 256).alias("key"), "text").join(runs, "key")
-        .mapInArrow(cut, "key string, n_removed long, n_spans long, kept_sha256 string")
-    )
-    gone = F.coalesce(F.col("copies") > 1, F.lit(False))
-    return rows.join(partly, "key", "left").select(
-        "doc_id", "n_bytes",
-        F.when(gone, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
-        F.when(gone, 1).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
-        F.when(gone, F.lit(_NOTHING)).otherwise(F.coalesce("kept_sha256", "key")).alias("kept_sha256"),
+            for at in range(0, batch.num_rows, 256):
+                rows = []
+                for doc_id, text, gone, spans in zip(*(c.to_pylist() for c in batch.slice(at, 256).columns)):
+                    raw = text.encode()
+                    runs, kept = ([(0, len(raw))], b"") if gone else _cut_out(raw, spans or [])
+                    left = "" if gone else _whole_characters(raw, spans) if spans else text
+                    rows.append((doc_id, len(raw), len(raw) - len(kept), len(runs), hashlib.sha256(kept).hexdigest(), left))
+                yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows), REMOVED)], schema=REMOVED)
+
+    joined = documents.join(changes, F.sha2(documents["text"], 256) == changes["_key"], "left")
+    return joined.select(documents["doc_id"], documents["text"], "_gone", "spans").mapInArrow(
+        cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, text string"
     )
 
 
-def without_repeats(documents: DataFrame) -> DataFrame:
-    """The documents with repeats taken out of ``text``; other columns stay.
+def _changes(documents: DataFrame, scratch: Scratch, length: int) -> DataFrame:
+    """The texts that lose anything, by key: copies lose everything (``_gone``), others their ``spans``."""
+    rows, spans = repeated_spans(documents, scratch, length)
+    copied = rows.where("copies > 1").select("key").distinct().withColumn("_gone", F.lit(True))
+    changes = _runs_of_text(scratch, spans).join(copied, "key", "full").select(F.col("key").alias("_key"), "_gone", "spans")
+    return scratch.keep(changes, "changes")
+
+
+def without_repeats(documents: DataFrame, length: int = LENGTH) -> DataFrame:
+    """The documents with repeats of ``length`` bytes or more taken out of ``text``; other columns stay.
 
     Bytes of characters that a run covers only in part stay, so that the text remains text; ``n_chars``, if there,
     is counted anew. Null texts stay null. Texts without repeats are passed on as they are.
     """
     scratch = Scratch(documents.sparkSession)
-    rows, spans = repeated_spans(documents.select(F.col("doc_id").cast("long"), "text"), scratch)
-    copied = rows.where("copies > 1").select("key").distinct().withColumn("_gone", F.lit(True))
-    changes = _runs_of_text(scratch, spans).join(copied, "key", "full").select(F.col("key").alias("_key"), "_gone", "spans")
-    changes = scratch.keep(changes, "changes")
+    changes = _changes(documents.select(F.col("doc_id").cast("long"), "text"), scratch, length)
 
     @F.pandas_udf("string")
     def cleaned(texts: pd.Series, spans: pd.Series) -> pd.Series:

@@ -1,7 +1,7 @@
 """Token ids of whole texts under two public vocabularies, as little-endian unsigned 32-bit bytes.
 
-Text is cut where no token can reach across; the distinct pieces are encoded once per Python worker and
-kept in a bounded dictionary, so a text costs a split, one lookup per piece and a join.
+The byte-level vocabulary encodes a text in one call. For the word vocabulary text is cut where no token can reach
+across; the distinct pieces are encoded once per Python worker and kept in a bounded dictionary.
 """
 
 from __future__ import annotations
@@ -53,10 +53,9 @@ def id_bytes(ids: list[int]) -> bytes:
 
 @lru_cache(maxsize=None)
 def byte_level_encoder(json_path: str, ranks_path: str) -> Callable[[str], bytes]:
-    """The encoder of a byte-level vocabulary.
+    """The encoder of a byte-level vocabulary: one call of its merger for a whole text.
 
-    A single blank before a character that is not white space always starts a piece of the vocabulary's
-    splitting pattern, so the text may be cut there.
+    Texts with special tokens' strings or unusual characters are handed to the tokenizers library.
     """
     import public_tokenizers
     import tiktoken
@@ -67,18 +66,11 @@ def byte_level_encoder(json_path: str, ranks_path: str) -> Callable[[str], bytes
     with open(ranks_path, "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
     merger = tiktoken.Encoding("bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    first = Remembered(lambda piece: id_bytes(merger.encode_ordinary(piece)))
-    later = Remembered(lambda piece: id_bytes(merger.encode_ordinary(" " + piece)))
-    loose = re.compile(r" (?=\s|$)")
-    cuts = re.compile(r"(?= \S)")
 
     def encode(text: str) -> bytes:
         if UNUSUAL.search(text) or any(s in text for s in specials):
             return id_bytes(library.encode(text, add_special_tokens=False).ids)
-        if loose.search(text):
-            return b"".join(map(first.__getitem__, cuts.split(text)))
-        head, *rest = text.split(" ")
-        return first[head] + b"".join(map(later.__getitem__, rest))
+        return id_bytes(merger.encode_ordinary(text))
 
     return encode
 
