@@ -27,7 +27,7 @@ from kalends.llm.tokens import Remembered
 
 BITS = 17
 PER_LANGUAGE = 600
-FRAGMENT = 4000
+FRAGMENT = 1000
 #: Words of a training sequence, sequences of one step, passes over the sample, and the first step's size.
 SEQUENCE, BATCH, EPOCHS, RATE = 40, 64, 4, 0.2
 #: Rows with this remainder of crc32(doc_id) by FOLDS are held out.
@@ -61,7 +61,7 @@ def features(word: str) -> list[int]:
         return []
     marked = f"^{word}$"
     parts = ["<" + word[:1], "<" + word[:2], "<" + word[:3], ">" + word[-1:], ">" + word[-2:], ">" + word[-3:]]
-    parts += [marked[i: i + 3] for i in range(min(len(marked) - 2, 40))]
+    parts += [marked[i: i + 3] for i in range(len(marked) - 2)]
     return list({_hashed("=" + word), *map(_PART.__getitem__, parts)})
 
 
@@ -153,8 +153,10 @@ def fit(fragments: list[tuple[str, str]]) -> Field:
         found = [cache.setdefault(w, features(w)) for w in words_of(text)]
         found = [f for f in found if f]
         if found:
-            tiled = (found * (SEQUENCE // len(found) + 1))[: max(len(found) // SEQUENCE, 1) * SEQUENCE]
-            pieces += [(names.index(lang), tiled[i: i + SEQUENCE]) for i in range(0, len(tiled), SEQUENCE)][:4]
+            # the last sequence is filled up with the fragment's words from the start
+            whole = -(-len(found) // SEQUENCE) * SEQUENCE
+            tiled = (found * (whole // len(found) + 1))[:whole]
+            pieces += [(names.index(lang), tiled[i: i + SEQUENCE]) for i in range(0, whole, SEQUENCE)]
     weights, moves, start = np.zeros((1 << BITS, size)), np.zeros((size, size)), np.zeros(size)
     squares = [np.full(p.shape, 1e-2) for p in (weights, moves, start)]
     for _ in range(EPOCHS):
@@ -263,8 +265,14 @@ def training_fragments(documents: DataFrame) -> list[tuple[str, str]]:
     )
     spare = F.greatest(F.length("text") - FRAGMENT, F.lit(0)) + 1
     fragment = F.substring("text", F.pmod(F.xxhash64("doc_id"), spare).cast("int") + 1, F.lit(FRAGMENT))
+    # Ranges of hashes are counted first: only rows up to the range in which a language's sample is complete are numbered.
+    hashed = known.select("doc_id", "lang", F.shiftright(F.xxhash64("doc_id"), 52).alias("_range"))
+    ranges = hashed.groupBy("lang", "_range").agg(F.count(F.lit(1)).alias("_rows"))
+    before = F.coalesce(F.sum("_rows").over(Window.partitionBy("lang").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    last = ranges.withColumn("_before", before).where(F.col("_before") < PER_LANGUAGE).groupBy("lang").agg(F.max("_range").alias("_last"))
+    near = hashed.join(last.withColumnRenamed("lang", "_named"), F.col("lang") == F.col("_named")).where(F.col("_range") <= F.col("_last"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = known.select("doc_id", "lang").withColumn("_place", place).where(F.col("_place") <= PER_LANGUAGE)
+    chosen = near.select("doc_id", "lang").withColumn("_place", place).where(F.col("_place") <= PER_LANGUAGE)
     chosen = chosen.select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang")).distinct()
     rows = (
         known.join(F.broadcast(chosen), (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("_lang")))  # PER_LANGUAGE rows each

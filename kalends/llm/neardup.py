@@ -390,16 +390,17 @@ def one_of_each(documents: DataFrame) -> DataFrame:
     own = F.struct(F.col("doc_id").isNull().alias("_null"), F.col("doc_id").alias("_id"))
     least = hashed.where(~blank).groupBy(F.col("_text").alias("_key")).agg(F.min(own).alias("x")).select("_key", "x._id")
     same = (F.col("_text") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id"))
+    # Every text is numbered once, when it is written, and the join works on the numbers.
     firsts = materialise(
-        hashed.where(~blank).join(least, same, "left_semi").union(hashed.where(blank)).dropDuplicates(["_text", "doc_id"]), "firsts"
+        hashed.where(~blank).join(least, same, "left_semi").union(hashed.where(blank)).dropDuplicates(["_text", "doc_id"])
+        .withColumn("_number", F.monotonically_increasing_id()), "firsts"
     )
-    number = F.xxhash64("_text")
-    found = components(firsts.where(~blank).select(number.alias("doc_id"), "text")).select(F.col("doc_id").alias("_number"), "component_id")
+    found = components(firsts.where(~blank).select(F.col("_number").alias("doc_id"), "text")).select(F.col("doc_id").alias("_number"), "component_id")
     chosen = (
-        firsts.where(~blank).select("doc_id", "_text", number.alias("_number")).join(found, "_number")
+        firsts.where(~blank).select("doc_id", "_text", "_number").join(found, "_number")
         .groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("_null"), "doc_id", "_text"))["_text"].alias("_key"))
     )
-    return firsts.join(chosen, F.col("_text") == F.col("_key"), "left_semi").union(firsts.where(blank)).drop("_text")
+    return firsts.join(chosen, F.col("_text") == F.col("_key"), "left_semi").union(firsts.where(blank)).drop("_text", "_number")
 
 
 def components(documents: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ one row per group.
 from __future__ import annotations
 
 import math
+import warnings
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,8 +34,8 @@ INSIDE = 0.999
 SETTLED = 1e-6
 MOST_STEPS = 40
 
-#: Smallest group with an estimate of its own; smaller ones are pooled by language, and a pool that is
-#: still smaller rejects nothing.
+#: Smallest group with an estimate of its own. The rows of smaller ones are judged by the estimate of all good rows of their
+#: language, and where even the language has fewer, by that of all good rows there are.
 MIN_GROUP = 60
 
 #: The vector's components, each with the least standard deviation that is believed. Most texts have no
@@ -131,18 +132,34 @@ def text_statistics(documents: DataFrame) -> DataFrame:
     )
 
 
+ANY = "*"
+
+
 def _grouped(stats: DataFrame) -> DataFrame:
-    """Give every row its group: language and source, or language alone where that pair is too small."""
+    """Give every row the group that judges it (``_lang``, ``_source``), and the groups to whose estimates it adds (``_adds``).
+
+    That is its language and source, or all of its language, or everything: the first with ``MIN_GROUP`` good rows.
+    """
     lang, source = F.coalesce(F.concat(F.lit("="), "lang"), F.lit("")), F.coalesce(F.concat(F.lit("="), "source"), F.lit(""))
-    keyed = stats.withColumns({"_lang": lang, "_source": source})
-    sizes = (
-        keyed.where(~F.col("base_failed")).groupBy("_lang", "_source").agg(F.count(F.lit(1)).alias("_rows"))
-        .select(F.col("_lang").alias("_l"), F.col("_source").alias("_s"), "_rows")
+    keyed = stats.withColumns({"_l": lang, "_s": source})
+    sizes = materialise(
+        keyed.where(~F.col("base_failed")).groupBy("_l", "_s").agg(F.count(F.lit(1)).alias("_rows")), "group-sizes"
     )
+    langs = sizes.groupBy("_l").agg(F.sum("_rows").alias("_of_lang"), F.min("_rows").alias("_least"))
+    rare = langs.agg(F.coalesce(F.max((F.col("_of_lang") < MIN_GROUP).cast("int")), F.lit(0))).scalar() == 1
+    known = sizes.join(langs, "_l").select(F.col("_l").alias("_kl"), F.col("_s").alias("_ks"), "_rows", "_of_lang", "_least")
+    own, whole = F.coalesce(F.col("_rows") >= MIN_GROUP, F.lit(False)), F.coalesce(F.col("_of_lang") >= MIN_GROUP, F.lit(False))
+    group = lambda l, s: F.struct(l.alias("l"), s.alias("s"))
+    by_lang, by_any = group(F.col("_l"), F.lit(ANY)), group(F.lit(ANY), F.lit(ANY))
+    judge = F.when(own, group(F.col("_l"), F.col("_s"))).when(whole, by_lang).otherwise(by_any)
+    adds = F.array_compact(F.array(
+        F.when(own, group(F.col("_l"), F.col("_s"))), F.when(whole & (F.col("_least") < MIN_GROUP), by_lang), F.when(rare, by_any)
+    ))
     return (
-        keyed.join(sizes, (F.col("_lang") == F.col("_l")) & (F.col("_source") == F.col("_s")), "left")
-        .withColumn("_source", F.when(F.col("_rows") >= MIN_GROUP, F.col("_source")).otherwise(F.lit("*")))
-        .drop("_l", "_s", "_rows")
+        keyed.join(known, (F.col("_l") == F.col("_kl")) & (F.col("_s") == F.col("_ks")), "left")
+        .withColumns({"_judge": judge, "_adds": adds})
+        .withColumns({"_lang": F.col("_judge.l"), "_source": F.col("_judge.s")})
+        .drop("_l", "_s", "_kl", "_ks", "_rows", "_of_lang", "_least", "_judge")
     )
 
 
@@ -193,7 +210,7 @@ def _start(good: DataFrame) -> DataFrame:
         *[F.percentile_approx(name, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 2000).alias(f"q{i}") for i, name in enumerate(NAMES)],
     )
     spread = lambda i: F.pow((F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / 1.349, F.lit(2.0))
-    return _factor(quartiles.where(F.col("group_rows") >= MIN_GROUP).select(
+    return _factor(quartiles.select(
         *KEY, "group_rows",
         *[F.col(f"q{i}")[1].alias(f"m{i}") for i in range(d)],
         *[(spread(i) if i == j else F.lit(0.0)).alias(f"s{i}{j}") for i in range(d) for j in range(i + 1)],
@@ -238,19 +255,23 @@ def outlier_verdicts(documents: DataFrame) -> DataFrame:
     base rules form the estimates; the others are not kept.
 
     Defined cases: a null or empty text has no words and fails; null languages and sources are groups of
-    their own; repeated rows are judged one by one and all count; groups under ``MIN_GROUP`` rows are pooled
-    by language, and a pool that is still too small rejects nothing; an empty table gives an empty result;
+    their own; repeated rows are judged one by one and all count; rows of a group with under ``MIN_GROUP``
+    good rows are judged by all good rows of their language, or by all there are; an empty table gives an empty result;
     columns other than doc_id, text, lang and source are ignored.
     """
     stats = materialise(_grouped(materialise(text_statistics(documents), "text-statistics")), "grouped-statistics")
-    good = stats.where(~F.col("base_failed")).select(*KEY, *NAMES)
+    good = stats.where(~F.col("base_failed")).select(F.explode("_adds").alias("_group"), *NAMES).select(
+        F.col("_group.l").alias("_lang"), F.col("_group.s").alias("_source"), *NAMES
+    )
     estimates = materialise(_start(good), "mcd-start")
     for _ in range(MOST_STEPS):
         before, estimates = estimates, materialise(_concentrate(good, estimates), "mcd-step")
         if not _moved(before, estimates):
             break
+    else:
+        warnings.warn(f"estimates still move after {MOST_STEPS} concentration steps", stacklevel=2)
     cutoff = chi_square_quantile(INSIDE, len(NAMES))
-    return _with_distance(stats, estimates).select(
+    return _with_distance(stats.drop("_adds"), estimates).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         (~F.col("base_failed") & (F.coalesce(F.col("distance"), F.lit(0.0)) <= cutoff)).alias("kept"),
         "distance",

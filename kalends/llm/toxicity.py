@@ -5,7 +5,7 @@ hashed into ``BITS`` bits. Every weight has its own learning rate, and the L1 pe
 zero, so the model is a short list of (feature, weight) that is broadcast; texts are scored where they are read.
 
 The model is fitted on a bounded sample of the labelled rows: the ``TOXIC`` toxic and ``CLEAN`` clean ones with the
-least hashed ids.
+least hashed ids, as far as their features fit into ``MOST_BYTES``. All features of a row are learned from.
 """
 
 from __future__ import annotations
@@ -16,16 +16,18 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kalends.llm.common import bucket_of_id
 from kalends.llm.tokens import Remembered
+from kalends.storage import materialise
 
 BITS = 20
-#: Most labelled rows of each kind that the fit reads, and most features of one of them.
+#: Most labelled rows of each kind that the fit reads, and most bytes of their features: rows are taken whole, in the
+#: order of their hashed ids, as long as those before them leave room.
 TOXIC, CLEAN = 3000, 9000
-MOST_FEATURES = 20_000
+MOST_BYTES = {1: 100_000_000, 0: 200_000_000}
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 16.0, 0.0
 EPOCHS = 6
 THRESHOLD = 0.7
@@ -78,30 +80,43 @@ def ftrl(rows: list[tuple[np.ndarray, int]], bits: int = BITS) -> tuple[np.ndarr
 
 
 def training_rows(documents: DataFrame, labels: DataFrame) -> list[tuple[np.ndarray, int]]:
-    """Features and labels of the bounded sample; held-out rows and null labels take no part."""
+    """Features and labels of the bounded sample; held-out rows and null labels take no part.
+
+    An id with several labels has the least of them, one with several texts the text with the least hash.
+    """
     known = labels.select(F.col("doc_id").cast("long").alias("_id"), F.col("toxic").cast("int").alias("_toxic")).where(
         F.col("_id").isNotNull() & F.col("_toxic").isin(0, 1) & (bucket_of_id(F.col("_id"), FOLDS) != HELD_OUT)
-    )
-    order = [F.xxhash64("_id"), "_id"]
+    ).groupBy("_id").agg(F.min("_toxic").alias("_toxic"))
+    order = [F.xxhash64("_id"), F.col("_id")]
     some = known.where("_toxic = 1").orderBy(*order).limit(TOXIC).union(known.where("_toxic = 0").orderBy(*order).limit(CLEAN))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features()
         for batch in batches:
-            found = [features(t.as_py())[:MOST_FEATURES].tobytes() for t in batch.column(2)]
-            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(found, pa.binary())], ["_id", "_toxic", "features"])
-
-    chosen = documents.join(F.broadcast(some), documents["doc_id"] == some["_id"]).select("_id", "_toxic", "text")  # TOXIC + CLEAN rows
-    rows = chosen.mapInArrow(read, "_id long, _toxic int, features binary").dropDuplicates(["_id"]).collect()
-    rows.sort(key=lambda r: r["_id"])
-    return [(np.frombuffer(r.features, np.int32), r["_toxic"]) for r in rows]
+            for at in range(0, batch.num_rows, 64):
+                part = batch.slice(at, 64)
+                found = [features(t.as_py()).tobytes() for t in part.column(3)]
+                yield pa.record_batch([*part.columns[:3], pa.array(found, pa.binary())], ["_id", "_toxic", "_text", "features"])
+
+    chosen = documents.join(F.broadcast(some), documents["doc_id"] == some["_id"])  # TOXIC + CLEAN rows
+    rows = chosen.select("_id", "_toxic", F.xxhash64("text").alias("_text"), "text").mapInArrow(
+        read, "_id long, _toxic int, _text long, features binary"
+    )
+    rows = materialise(rows, "toxic-features")
+    first = rows.select("_id", "_toxic", F.struct("_text", F.octet_length("features").alias("size")).alias("x")).groupBy("_id", "_toxic").agg(F.min("x").alias("x"))
+    so_far = F.sum("x.size").over(Window.partitionBy("_toxic").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    room = F.when(F.col("_toxic") == 1, MOST_BYTES[1]).otherwise(MOST_BYTES[0])
+    fitting = first.withColumn("_so_far", so_far).where(F.col("_so_far") <= room).select("_id", F.col("x._text").alias("_text"))
+    kept = rows.join(F.broadcast(fitting), ["_id", "_text"]).dropDuplicates(["_id"]).collect()  # at most MOST_BYTES
+    kept.sort(key=lambda r: r["_id"])
+    return [(np.frombuffer(r.features, np.int32), r["_toxic"]) for r in kept]
 
 
 def scored(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score and predicted of every document.
 
     Defined cases: a null or empty text has no features and the intercept's score; without labels of both
-    kinds every score is 0; an id labelled twice counts once, by either label; a null id is not held out; repeated
+    kinds every score is 0; an id labelled twice counts once, by the least label; a null id is not held out; repeated
     rows get equal scores; an empty table gives no rows; extra columns are ignored.
     """
     documents = documents.select(F.col("doc_id").cast("long"), "text")

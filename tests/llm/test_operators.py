@@ -121,7 +121,7 @@ def test_an_outlier_is_rejected(spark):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_queries_with_sql(spark, name):
     connection = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "benchmark"):
         connection.sql(f"create view {table} as select * from '{SF}/{table}.parquet'")
     got = QUERIES[name](spark, SF)
     want = connection.sql(f"select {', '.join(got.columns)} from ({ORACLES[name]})").fetchall()
