@@ -11,16 +11,18 @@ from pyspark.sql import functions as F
 
 from kalends.llm import langid, neardup, packing, quality, repeats
 from kalends.llm.common import rows_with, table
-from kalends.storage import materialise
+from kalends.storage import materialise, temporary
 
 #: Least share of its language that a text needs; text of which no language has this much is dropped.
 LEAST_SHARE = 0.3
+#: Bytes of a repeated passage that is taken out. 51 words of the documents' prose have 252 bytes at least.
+PASSAGE_BYTES = 240
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
-    """The rows with ``_row``, a hash of what the stages judge; only rows that agree in all of it share a number."""
-    judged = ["doc_id", "text", "lang", "source"]
-    return docs.withColumn("_row", F.xxhash64(*[x for c in judged for x in (F.col(c), F.col(c).isNull())]))
+    """The rows with ``_row``, 128 bits of hashes of what the stages judge; only rows that agree in all of it share a number."""
+    judged = [x for c in ("doc_id", "text", "lang", "source") for x in (F.col(c), F.col(c).isNull())]
+    return docs.withColumn("_row", F.concat_ws("-", *[F.hex(F.xxhash64(F.lit(half), *judged)) for half in (1, 2)]))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,8 +45,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents without the passages of 400 bytes or more that occur more than once."""
-    return repeats.without_repeats(docs)
+    """The documents without the passages of ``PASSAGE_BYTES`` or more that occur more than once."""
+    return repeats.without_repeats(docs, PASSAGE_BYTES)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,8 +64,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents, each written as Parquet and read again by the next."""
+    """All stages over the documents, each written as Parquet and read again by the next.
+
+    What a stage writes besides its result goes when it ends. Columns that documents has besides its own are carried along; an
+    empty table gives no rows; null and empty texts do not pass the first stage.
+    """
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir), name)
+        with temporary(spark, keep=lambda folder, name=name: f"/{name}-" in folder):
+            docs = materialise(stage(spark, docs, sf_dir), name)
     return docs
