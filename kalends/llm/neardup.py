@@ -6,10 +6,10 @@ further tokens, small nodes are compared exhaustively, and independent trees are
 threshold is missed with negligible probability. Pairs whose tokens agree often enough are confirmed on the
 full shingle sets, and confirmed links are contracted to connected components.
 
-Nodes that no branching has made small hold large families of different copies. Families that share such a node are
-one cluster. Links to its most typical member connect most of a cluster; what they leave apart is compared on the
-full sets, every member of a cluster with every other one of another component, in tasks of two blocks each. The
-work of that last step grows with the size of the cluster times the number of its members left apart.
+Large nodes whose members resemble each other are families of different copies and are not branched. Families with a
+member in common are one cluster. Links to its most typical member connect most of a cluster; what they leave apart is
+compared on the full sets, every member of a cluster with every other one of another component, in tasks of two
+blocks each. The work of that last step grows with the size of the cluster times the number of its members left apart.
 
 Documents with equal sets are one member of the join, so groups of copies cost one comparison, however large.
 """
@@ -47,6 +47,8 @@ COLUMNS = 2048
 #: Equal tokens (of 32) that make a pair a candidate. A pair at similarity 0.75 has 24 on average and stays below
 #: 13 with a probability of about 1e-5.
 AGREEING = 13
+#: Equal tokens that make two members alike enough to be of one family.
+ALIKE = 10
 
 _MULTIPLIERS = np.random.default_rng(20240611).integers(0, 2**63, TOKENS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -124,13 +126,15 @@ def _branches(large: DataFrame, members: DataFrame) -> DataFrame:
     return large.join(members, "member").select("member", F.explode(F.array(*child)).alias("path"))
 
 
-def _grown_nodes(members: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame, DataFrame | None]:
-    """(member, path) of every small node, (member, pivot) of every large one, (member, path) of those left large.
+def _grown_nodes(members: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame | None]:
+    """(member, path) of every small node, and (member, path) of large ones that are not branched further.
 
-    The pivot of a large node is one of its members; whoever resembles it is linked through it, so that a big
-    group of near copies is connected by as many pairs as it has members.
+    A large node most of whose members resemble one of them, taken by its hash, is a family: branching would take it apart
+    slowly and compare its members over and over, so it stays whole. Other large nodes, of texts that share a
+    passage but little else, are branched ``LEVELS`` times.
     """
-    nodes, small, stars, left = _roots(members), [], [], None
+    pivots = members.select(F.col("member").alias("pivot"), F.col("tokens").alias("pivot_tokens"))
+    nodes, small, whole = _roots(members), [], []
     for level in range(LEVELS + 1):
         sizes = nodes.groupBy("path").agg(
             F.count(F.lit(1)).alias("size"), F.min_by("member", F.xxhash64("member", "path")).alias("pivot")
@@ -140,18 +144,17 @@ def _grown_nodes(members: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataF
         large = shared.where(F.col("size") > NODE)
         if large.isEmpty():
             break
-        stars.append(large.where(F.col("member") != F.col("pivot")).select("member", "pivot"))
         if level == LEVELS:
-            left = large.select("member", "path")
-        nodes = _branches(large.select("member", "path"), members)
-    none = members.select("member", F.col("member").alias("pivot")).limit(0)
-    return reduce(DataFrame.union, small), reduce(DataFrame.union, stars, none).distinct(), left
-
-
-def _popular(stars: DataFrame) -> DataFrame:
-    """Each member with that of its pivots that has the most members."""
-    sizes = stars.groupBy("pivot").agg(F.count(F.lit(1)).alias("n"))
-    return stars.join(sizes, "pivot").groupBy("member").agg(F.max(F.struct("n", "pivot"))["pivot"].alias("pivot"))
+            whole.append(large.select("member", "path"))
+            break
+        alike = _agreeing(F.col("tokens"), F.col("pivot_tokens")) >= ALIKE
+        families = scratch.keep(
+            large.join(members, "member").join(pivots, "pivot").groupBy("path").agg(F.avg(alike.cast("int")).alias("share"))
+            .where(F.col("share") >= 0.5).select("path"), f"families-{level}"
+        )
+        whole.append(large.join(families, "path", "left_semi").select("member", "path"))
+        nodes = _branches(large.join(families, "path", "left_anti").select("member", "path"), members)
+    return reduce(DataFrame.union, small), reduce(DataFrame.union, whole) if whole else None
 
 
 def _clusters(left: DataFrame, roots: DataFrame, scratch: Scratch) -> DataFrame | None:
@@ -311,13 +314,12 @@ def _agreeing(left: Column, right: Column) -> Column:
 
 
 def _starred(stars: DataFrame, members: DataFrame) -> DataFrame:
-    """Pairs of large nodes' members with their pivots, where the tokens agree often enough."""
+    """Pairs of members with their pivots, where the tokens agree often enough."""
     pivots = members.select(F.col("member").alias("pivot"), F.col("tokens").alias("pivot_tokens"))
     return (
         stars.join(members, "member").join(pivots, "pivot")
-        .withColumn("agreeing", _agreeing(F.col("tokens"), F.col("pivot_tokens")))
-        .where(F.col("agreeing") >= AGREEING)
-        .select(F.least("member", "pivot").alias("a"), F.greatest("member", "pivot").alias("b"), "agreeing")
+        .where(_agreeing(F.col("tokens"), F.col("pivot_tokens")) >= AGREEING)
+        .select(F.least("member", "pivot").alias("a"), F.greatest("member", "pivot").alias("b"))
     )
 
 
@@ -406,9 +408,9 @@ def one_of_each(documents: DataFrame) -> DataFrame:
 def components(documents: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every document.
 
-    Confirmation runs twice: first each member's most alike candidate and its most popular pivot, and the typical
-    member of what large nodes leave apart, which connects most of every group, then all candidates that still join
-    different components. Clusters that still hold several components are compared on the full sets.
+    Confirmation runs twice: first each member's most alike candidate, and the typical member of every cluster of large
+    nodes, which connects most of every group, then all candidates that still join different components. Clusters that still
+    hold several components are compared on the full sets.
 
     Defined cases: a null, empty or blank text has an empty set and is linked with nothing; under five words
     the whole sequence is one shingle; rows with equal sets are linked; repeated rows get equal results; a
@@ -424,10 +426,8 @@ def components(documents: DataFrame) -> DataFrame:
         "members",
     )
     described = members.select("member", "tokens")
-    small, stars, left = _grown_nodes(described, scratch)
-    candidates = scratch.keep(
-        _compared(small, described).union(_starred(stars, described)).groupBy("a", "b").agg(F.max("agreeing").alias("agreeing")), "candidates"
-    )
+    small, left = _grown_nodes(described, scratch)
+    candidates = scratch.keep(_compared(small, described), "candidates")
     involved = candidates.select(F.explode(F.array("a", "b")).alias("member")).distinct().join(members.drop("tokens"), "member")
     texts = documents.withColumnRenamed("doc_id", "member").join(involved, "member")
     sets = scratch.keep(shingle_sets(texts), "sets")
@@ -439,8 +439,6 @@ def components(documents: DataFrame) -> DataFrame:
     nearest = ends.groupBy("one").agg(best.alias("x")).select(
         F.least("one", "x.other").alias("a"), F.greatest("one", "x.other").alias("b")
     ).distinct()
-    if left is not None:
-        nearest = nearest.union(_starred(_popular(stars), described).select("a", "b")).distinct()
     links = scratch.keep(_confirmed(nearest, sets), "links")
     roots = connected(links, scratch)
     clusters = None if left is None else _clusters(left, roots, scratch)
