@@ -1,9 +1,10 @@
 """Robust multivariate outliers: documents far from what is usual in their language and source.
 
 Each document becomes a vector of transformed text statistics. For every (language, source) the
-minimum covariance determinant estimate is found by concentration steps: from a start at medians and
-interquartile ranges, the three quarters of the documents nearest to the centre give the next centre and
-covariance, and so on. Documents whose squared Mahalanobis distance exceeds a chi-square quantile are rejected.
+minimum covariance determinant estimate is found by concentration steps: the three quarters of the documents nearest
+to a centre give the next centre and covariance, and so on. Steps run from several fixed starts (see ``_starts``), and of the
+estimates they settle at the one with the least determinant is taken. Documents whose squared Mahalanobis distance
+exceeds a chi-square quantile are rejected.
 
 All of it is DataFrame expressions: statistics are read off each text inside its row, estimates are
 grouped aggregates (moments and mergeable quantile sketches, combined before the shuffle, so a source with
@@ -164,6 +165,10 @@ def _grouped(stats: DataFrame) -> DataFrame:
 
 
 KEY = ["_lang", "_source"]
+#: Estimates in the making are told apart by their start as well.
+STARTED = [*KEY, "_start"]
+#: Values are pulled in to this many robust standard deviations for the third start.
+PULLED_IN = 2.0
 
 
 def _mu(i: int) -> Column:
@@ -173,9 +178,12 @@ def _mu(i: int) -> Column:
 def _factor(estimates: DataFrame) -> DataFrame:
     """Replace the covariances s{i}{j} by their Cholesky factor l{i}{j}; variances below their floor are raised to it.
 
-    One row per group, one column per entry; each row of the factor is a projection of its own.
+    One row per estimate, one column per entry; each row of the factor is a projection of its own. ``log_determinant`` is that of
+    the covariance with its floors, ``floored`` the number of variances that were raised.
     """
     d = len(NAMES)
+    raised = [(F.col(f"s{i}{i}") < F.lit(FLOORS[NAMES[i]] ** 2)).cast("int") for i in range(d)]
+    estimates = estimates.withColumn("floored", sum(raised[1:], raised[0]))
     for i in range(d):
         for j in range(i + 1):
             entry = F.greatest(F.col(f"s{i}{j}"), F.lit(FLOORS[NAMES[i]] ** 2)) if i == j else F.col(f"s{i}{j}")
@@ -183,68 +191,112 @@ def _factor(estimates: DataFrame) -> DataFrame:
                 entry = entry - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
             value = F.sqrt(F.greatest(entry, F.lit(1e-12))) if i == j else entry / F.col(f"l{j}{j}")
             estimates = estimates.withColumn(f"l{i}{j}", value)
-    return estimates.select(*KEY, "group_rows", *[f"m{i}" for i in range(d)], *[f"l{i}{j}" for i in range(d) for j in range(i + 1)])
+    logs = [F.log(F.col(f"l{i}{i}")) * 2 for i in range(d)]
+    return estimates.select(
+        *STARTED, "group_rows", "floored", sum(logs[1:], logs[0]).alias("log_determinant"), *_entries()
+    )
+
+
+def _entries() -> list[str]:
+    d = len(NAMES)
+    return [*[f"m{i}" for i in range(d)], *[f"l{i}{j}" for i in range(d) for j in range(i + 1)]]
 
 
-def _with_distance(stats: DataFrame, estimates: DataFrame) -> DataFrame:
+def _with_distance(stats: DataFrame, estimates: DataFrame, keys: list[str]) -> DataFrame:
     """Add the squared Mahalanobis distance ``distance`` by forward substitution; null without an estimate."""
-    factors = estimates.select(*[F.col(k).alias(f"e{k}") for k in KEY], *[c for c in estimates.columns if c not in KEY])
-    joined = stats.join(factors, (F.col("_lang") == F.col("e_lang")) & (F.col("_source") == F.col("e_source")), "left")
+    factors = estimates.select(*[F.col(k).alias(f"e{k}") for k in keys], *_entries())
+    same = F.lit(True)
+    for k in keys:
+        same = same & (F.col(k) == F.col(f"e{k}"))
+    joined = stats.join(factors, same, "left")
     for i, name in enumerate(NAMES):
         rest = F.col(name) - _mu(i)
         for k in range(i):
             rest = rest - F.col(f"l{i}{k}") * F.col(f"_y{k}")
         joined = joined.withColumn(f"_y{i}", rest / F.col(f"l{i}{i}"))
     squares = [F.col(f"_y{i}") * F.col(f"_y{i}") for i in range(len(NAMES))]
-    total = squares[0]
-    for square in squares[1:]:
-        total = total + square
-    return joined.withColumn("distance", total).select(*stats.columns, "distance")
+    return joined.withColumn("distance", sum(squares[1:], squares[0])).select(*stats.columns, "distance")
+
+
+def _moments(names: list[Column], factor: float) -> list[Column]:
+    """Means of the vector, and the covariances of ``names`` (the vector, or values derived from it), times a factor."""
+    d = len(NAMES)
+    return [
+        *[F.avg(name).alias(f"m{i}") for i, name in enumerate(NAMES)],
+        *[(F.covar_pop(names[i], names[j]) * factor).alias(f"s{i}{j}") for i in range(d) for j in range(i + 1)],
+    ]
+
 
+def _starts(good: DataFrame) -> DataFrame:
+    """Three first estimates of every group.
 
-def _start(good: DataFrame) -> DataFrame:
-    """Medians, and interquartile ranges as standard deviations, of every group."""
+    Medians with interquartile ranges as standard deviations; means with the covariance of all rows; medians with the
+    covariance of values pulled in towards them, to ``PULLED_IN`` robust standard deviations.
+    """
     d = len(NAMES)
-    quartiles = good.groupBy(*KEY).agg(
+    quartiles = materialise(good.groupBy(*KEY).agg(
         F.count(F.lit(1)).alias("group_rows"),
         *[F.percentile_approx(name, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 2000).alias(f"q{i}") for i, name in enumerate(NAMES)],
+    ), "mcd-quartiles")
+    spread = lambda i: (F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / 1.349
+    medians = [F.col(f"q{i}")[1].alias(f"m{i}") for i in range(d)]
+    first = quartiles.select(
+        *KEY, F.lit(0).alias("_start"), "group_rows", *medians,
+        *[(F.pow(spread(i), F.lit(2.0)) if i == j else F.lit(0.0)).alias(f"s{i}{j}") for i in range(d) for j in range(i + 1)],
     )
-    spread = lambda i: F.pow((F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / 1.349, F.lit(2.0))
-    return _factor(quartiles.select(
-        *KEY, "group_rows",
-        *[F.col(f"q{i}")[1].alias(f"m{i}") for i in range(d)],
-        *[(spread(i) if i == j else F.lit(0.0)).alias(f"s{i}{j}") for i in range(d) for j in range(i + 1)],
-    ))
+    second = good.groupBy(*KEY).agg(F.count(F.lit(1)).alias("group_rows"), *_moments([F.col(n) for n in NAMES], 1.0)).withColumn("_start", F.lit(1))
+    named = quartiles.select(F.col("_lang").alias("k_lang"), F.col("_source").alias("k_source"), *[f"q{i}" for i in range(d)])
+    placed = good.join(named, (F.col("_lang") == F.col("k_lang")) & (F.col("_source") == F.col("k_source")))
+    reach = [F.greatest(spread(i), F.lit(FLOORS[NAMES[i]])) * PULLED_IN for i in range(d)]
+    pulled = [F.least(F.greatest(F.col(n), F.col(f"q{i}")[1] - reach[i]), F.col(f"q{i}")[1] + reach[i]) for i, n in enumerate(NAMES)]
+    third = placed.groupBy(*KEY).agg(
+        F.count(F.lit(1)).alias("group_rows"), *_moments(pulled, 1.0), *[F.first(F.col(f"q{i}")[1]).alias(f"c{i}") for i in range(d)]
+    ).withColumns({f"m{i}": F.col(f"c{i}") for i in range(d)}).drop(*[f"c{i}" for i in range(d)]).withColumn("_start", F.lit(2))
+    return _factor(first.unionByName(second).unionByName(third))
 
 
 def _concentrate(good: DataFrame, estimates: DataFrame) -> DataFrame:
-    """One concentration step: mean and covariance of the nearest ``COVERED`` share of each group."""
+    """One concentration step: mean and covariance of the nearest ``COVERED`` share of each group, from each start."""
     d = len(NAMES)
-    far = _with_distance(good, estimates).where(F.col("distance").isNotNull())
+    far = _with_distance(good, estimates, STARTED).where(F.col("distance").isNotNull())
     # Written first, so that Spark knows its size and broadcasts it while it is small; documents then stay in place.
-    limits = materialise(far.groupBy(*KEY).agg(
+    limits = materialise(far.groupBy(*STARTED).agg(
         F.percentile_approx("distance", COVERED, 10000).alias("_limit"), F.count(F.lit(1)).alias("group_rows")
-    ).select(F.col("_lang").alias("k_lang"), F.col("_source").alias("k_source"), "_limit", "group_rows"), "mcd-limits")
-    near = far.join(limits, (F.col("_lang") == F.col("k_lang")) & (F.col("_source") == F.col("k_source"))).where(
-        F.col("distance") <= F.col("_limit")
-    )
+    ).select(*[F.col(k).alias(f"k{k}") for k in STARTED], "_limit", "group_rows"), "mcd-limits")
+    same = (F.col("_lang") == F.col("k_lang")) & (F.col("_source") == F.col("k_source")) & (F.col("_start") == F.col("k_start"))
+    near = far.join(limits, same).where(F.col("distance") <= F.col("_limit"))
     # The trimmed covariance of a normal cloud is too small by a known factor.
     cut = chi_square_quantile(COVERED, d)
     factor = COVERED / chi_square_cdf(cut, d + 2)
-    moments = near.groupBy(*KEY).agg(
-        F.first("group_rows").alias("group_rows"),
-        *[F.avg(name).alias(f"m{i}") for i, name in enumerate(NAMES)],
-        *[(F.covar_pop(NAMES[i], NAMES[j]) * factor).alias(f"s{i}{j}") for i in range(d) for j in range(i + 1)],
-    )
-    return _factor(moments)
+    return _factor(near.groupBy(*STARTED).agg(F.first("group_rows").alias("group_rows"), *_moments([F.col(n) for n in NAMES], factor)))
 
 
 def _moved(before: DataFrame, after: DataFrame) -> bool:
-    """Whether any entry of any group's estimate has moved by more than ``SETTLED``."""
-    entries = [c for c in after.columns if c not in (*KEY, "group_rows")]
-    old = before.select(*KEY, *[F.col(c).alias(f"_{c}") for c in entries])
-    far = F.greatest(*[F.abs(F.col(c) - F.col(f"_{c}")) for c in entries])
-    return not after.join(old, KEY).where(far > SETTLED).isEmpty()
+    """Whether any entry of any estimate has moved by more than ``SETTLED``."""
+    old = before.select(*STARTED, *[F.col(c).alias(f"_{c}") for c in _entries()])
+    far = F.greatest(*[F.abs(F.col(c) - F.col(f"_{c}")) for c in _entries()])
+    return not after.join(old, STARTED).where(far > SETTLED).isEmpty()
+
+
+def estimates_of(good: DataFrame) -> DataFrame:
+    """The estimate with the least determinant of every group: ``_lang``, ``_source``, the start it came from, group_rows, floored,
+    log_determinant, the centre m{i} and the Cholesky factor l{i}{j} of the covariance.
+
+    ``good`` has ``_lang``, ``_source`` and the vector.
+    """
+    started = good.withColumn("_start", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
+    estimates = materialise(_starts(good), "mcd-start")
+    for _ in range(MOST_STEPS):
+        before, estimates = estimates, materialise(_concentrate(started, estimates), "mcd-step")
+        if not _moved(before, estimates):
+            break
+    else:
+        warnings.warn(f"estimates still move after {MOST_STEPS} concentration steps", stacklevel=2)
+    others = [c for c in estimates.columns if c not in KEY]
+    # Determinants that differ by rounding only count as equal; the first start is then taken.
+    order = F.struct(F.round("log_determinant", 6).alias("d"), F.col("_start").alias("s"))
+    best = estimates.groupBy(*KEY).agg(F.min_by(F.struct(*others), order).alias("x"))
+    return best.select(*KEY, *[F.col(f"x.{c}").alias(c) for c in others])
 
 
 def outlier_verdicts(documents: DataFrame) -> DataFrame:
@@ -263,15 +315,9 @@ def outlier_verdicts(documents: DataFrame) -> DataFrame:
     good = stats.where(~F.col("base_failed")).select(F.explode("_adds").alias("_group"), *NAMES).select(
         F.col("_group.l").alias("_lang"), F.col("_group.s").alias("_source"), *NAMES
     )
-    estimates = materialise(_start(good), "mcd-start")
-    for _ in range(MOST_STEPS):
-        before, estimates = estimates, materialise(_concentrate(good, estimates), "mcd-step")
-        if not _moved(before, estimates):
-            break
-    else:
-        warnings.warn(f"estimates still move after {MOST_STEPS} concentration steps", stacklevel=2)
+    estimates = materialise(estimates_of(good), "mcd")
     cutoff = chi_square_quantile(INSIDE, len(NAMES))
-    return _with_distance(stats.drop("_adds"), estimates).select(
+    return _with_distance(stats.drop("_adds"), estimates, KEY).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         (~F.col("base_failed") & (F.coalesce(F.col("distance"), F.lit(0.0)) <= cutoff)).alias("kept"),
         "distance",
