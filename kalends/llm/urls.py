@@ -2,8 +2,8 @@
 
 A rule is ``host/path``. It fits its host and every subdomain if the url's path starts with the rule's path;
 the longest fitting rule wins (of equally long ones a block, then the smaller string). A url therefore
-has few candidates: each suffix of its host with each prefix of its path that has the length of some
-rule's path. Their digests are looked up by vectorised binary search, and a hit counts only if the
+has few candidates: each suffix of its host with no more labels than some rule's host, with each prefix of its
+path that has the length of some rule's path. Their digests are looked up by vectorised binary search, and a hit counts only if the
 stored string is the candidate itself.
 """
 
@@ -43,16 +43,17 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
 
 
 def digest_file(rules: list[tuple[str, str]]) -> bytes:
-    """The array file: counts, sorted digests, string offsets, verdict flags and the rules' text."""
+    """The array file: counts and the most labels of a rule's host, sorted digests, string offsets, verdict flags and the rules' text."""
     chosen: dict[str, str] = {}
     for verdict, rule in rules:
         chosen[rule] = "block" if "block" in (verdict, chosen.get(rule)) else verdict
     keyed = sorted((xxhash.xxh64_intdigest(rule.encode()), rule.encode(), verdict == "block") for rule, verdict in chosen.items())
     lengths = sorted({len(rule.partition("/")[2]) + 1 for rule in chosen})
+    labels = max((rule.partition("/")[0].count(".") + 1 for rule in chosen), default=0)
     strings = [rule for _, rule, _ in keyed]
     offsets = np.concatenate([[0], np.cumsum([len(s) for s in strings], dtype=np.int64)]).astype("<i8")
     return b"".join([
-        np.asarray([len(keyed), len(lengths)], "<i8").tobytes(), np.asarray(lengths, "<i8").tobytes(),
+        np.asarray([len(keyed), len(lengths), labels], "<i8").tobytes(), np.asarray(lengths, "<i8").tobytes(),
         np.asarray([k for k, _, _ in keyed], "<u8").tobytes(), offsets.tobytes(),
         np.asarray([b for _, _, b in keyed], np.uint8).tobytes(), b"".join(strings),
     ])
@@ -64,8 +65,9 @@ class DigestArray:
     def __init__(self, path: str):
         with open(path, "rb") as file:
             data = mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ)
-        count, kinds = np.frombuffer(data, "<i8", 2)
-        at = 16
+        count, kinds, labels = np.frombuffer(data, "<i8", 3)
+        at = 24
+        self.most_labels = int(labels)
         self.path_lengths = np.frombuffer(data, "<i8", kinds, at).tolist()
         self.keys = np.frombuffer(data, "<u8", count, at := at + 8 * kinds)
         self.offsets = np.frombuffer(data, "<i8", count + 1, at := at + 8 * count)
@@ -96,11 +98,11 @@ def _array(name: str) -> DigestArray:
     return DigestArray(SparkFiles.get(name))
 
 
-def candidates_of(host: str, path: str, path_lengths: list[int]) -> list[str]:
-    """Every rule that could fit, longest first, a host's own before its parents'."""
+def candidates_of(host: str, path: str, path_lengths: list[int], most_labels: int) -> list[str]:
+    """Every rule that could fit, a host's longest suffixes first; suffixes with more labels than any rule has are left out."""
     if not host or not path:
         return []
-    labels = host.split(".")
+    labels = host.rsplit(".", most_labels)[-most_labels:] if most_labels else []
     prefixes = [path[:n] for n in path_lengths if n <= len(path)]
     return [".".join(labels[i:]) + prefix for i in range(len(labels)) for prefix in prefixes]
 
@@ -135,7 +137,7 @@ def judged(pages: DataFrame, rules: list[tuple[str, str]] = RULES, otherwise: st
             row_of: list[int] = []
             wanted: list[bytes] = []
             for row, (host, path) in enumerate(zip(hosts, paths)):
-                for candidate in candidates_of(host, path, stored.path_lengths):
+                for candidate in candidates_of(host, path, stored.path_lengths, stored.most_labels):
                     row_of.append(row)
                     wanted.append(candidate.encode())
             best: dict[int, tuple] = {}
@@ -162,10 +164,11 @@ def judged_by_join(pages: DataFrame, rules: DataFrame, otherwise: str = OTHERWIS
     """
     one = rules.groupBy("rule").agg(F.max(F.col("verdict") == "block").alias("_blocks"))
     lengths = sorted(r[0] for r in one.select(F.length(F.regexp_extract("rule", "/.*", 0)).alias("n")).distinct().collect())
+    most = one.agg(F.coalesce(F.max(F.size(F.split(F.substring_index("rule", "/", 1), r"\."))), F.lit(0))).first()[0]
     host, path = host_and_path(F.col("url"))
     split = pages.select("page_id", host.alias("host"), path.alias("path"))
     pairs = split.select("host", "path").distinct().where((F.col("host") != "") & (F.col("path") != ""))
-    labels = F.split("host", r"\.", -1)
+    labels = F.split(F.substring_index("host", ".", -max(most, 1)), r"\.", -1)
     suffixes = F.transform(
         F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), ".")
     )
