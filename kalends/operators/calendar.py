@@ -29,8 +29,9 @@ DATE_COLUMNS = [
 ]
 
 
-#: The greatest span of a calendar, in years: all years that a date can have.
-MOST_YEARS = 10_000
+#: The greatest span of a calendar whose bounds come from data, in years. Such calendars are sent to every executor; a stray
+#: date in year 1 must not make them large.
+MOST_YEARS = 1_000
 #: Years of days that one task makes.
 YEARS_A_TASK = 250
 
@@ -38,7 +39,7 @@ YEARS_A_TASK = 250
 def _days(bounds: DataFrame, first: Column, last: Column) -> DataFrame:
     """The days from ``first`` to ``last`` of a one-row table; a span of more than ``MOST_YEARS`` stops the query."""
     too_long = F.year(last) - F.year(first) >= MOST_YEARS
-    checked = F.when(too_long, F.raise_error(F.lit(f"a calendar spans {MOST_YEARS} years at most")).cast("date")).otherwise(last)
+    checked = F.when(too_long, F.raise_error(F.lit(f"the dates span more than {MOST_YEARS} years: name a date to ignore, or give the calendar by its parameters")).cast("date")).otherwise(last)
     return bounds.select(F.explode(F.sequence(first, checked, F.expr("interval 1 day"))).alias("Date"))
 
 
@@ -51,7 +52,7 @@ def date_range(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:
     """One ``Date`` row per day from ``start`` to ``end``, both included.
 
     The span is cut into its years, which are dealt to tasks and spelled out there. It may be as long as dates go, which is
-    ``MOST_YEARS`` years.
+    9,999 years.
     """
     if end < start:
         raise ValueError(f"the range ends ({end}) before it starts ({start})")

@@ -180,6 +180,12 @@ def test_a_long_span_is_made_by_several_tasks(spark):
     assert date_range(spark, dt.date(2024, 2, 28), dt.date(2024, 2, 28)).count() == 1
 
 
+def test_a_stray_date_does_not_make_a_calendar_large(spark):
+    df = spark.sql("SELECT make_date(1, 1, 1) AS d UNION ALL SELECT DATE '2024-01-01'")
+    with pytest.raises(Exception, match="1000 years"):
+        calendar_over(date_bounds(df, ["d"])).count()
+
+
 def test_bounds_of_several_columns_in_one_pass(spark):
     df = spark.createDataFrame(
         [(dt.date(2024, 5, 1), dt.datetime(2023, 1, 31, 23), None), (dt.date(9999, 12, 31), None, None)],
