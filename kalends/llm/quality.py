@@ -2,8 +2,8 @@
 
 Each document becomes a vector of transformed text statistics. For every (language, source) the
 minimum covariance determinant estimate is found by concentration steps: the three quarters of the documents nearest
-to a centre give the next centre and covariance, and so on. Steps run from several fixed starts (see ``_starts``), and of the
-estimates they settle at the one with the least determinant is taken. Documents whose squared Mahalanobis distance
+to a centre give the next centre and covariance, and so on. The first steps run from several fixed starts (see
+``_starts``); that with the least determinant then goes on until it settles. Documents whose squared Mahalanobis distance
 exceeds a chi-square quantile are rejected.
 
 All of it is DataFrame expressions: statistics are read off each text inside its row, estimates are
@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import math
 import warnings
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,7 +32,9 @@ MAX_REPEAT_PERCENT = 50
 #: cutoff: one in a thousand of a normal cloud is rejected.
 COVERED = 0.75
 INSIDE = 0.999
-#: Concentration steps go on until no entry of any estimate moves by more than SETTLED, MOST_STEPS at most.
+#: Every start is concentrated EARLY_STEPS times; the one with the least determinant by then goes on until no entry of its
+#: estimate moves by more than SETTLED, MOST_STEPS times at most.
+EARLY_STEPS = 2
 SETTLED = 1e-6
 MOST_STEPS = 40
 
@@ -184,19 +187,27 @@ def _factor(estimates: DataFrame) -> DataFrame:
     d = len(NAMES)
     raised = [(F.col(f"s{i}{i}") < F.lit(FLOORS[NAMES[i]] ** 2)).cast("int") for i in range(d)]
     estimates = estimates.withColumn("floored", sum(raised[1:], raised[0]))
-    for i in range(d):
-        for j in range(i + 1):
-            entry = F.greatest(F.col(f"s{i}{j}"), F.lit(FLOORS[NAMES[i]] ** 2)) if i == j else F.col(f"s{i}{j}")
+    for j in range(d):  # a column of the factor depends on those before it only
+        def entry(i: int, j: int = j) -> Column:
+            value = F.greatest(F.col(f"s{i}{j}"), F.lit(FLOORS[NAMES[i]] ** 2)) if i == j else F.col(f"s{i}{j}")
             for k in range(j):
-                entry = entry - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
-            value = F.sqrt(F.greatest(entry, F.lit(1e-12))) if i == j else entry / F.col(f"l{j}{j}")
-            estimates = estimates.withColumn(f"l{i}{j}", value)
+                value = value - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
+            return value
+
+        estimates = estimates.withColumn(f"l{j}{j}", F.sqrt(F.greatest(entry(j), F.lit(1e-12))))
+        if j + 1 < d:
+            estimates = estimates.withColumns({f"l{i}{j}": entry(i) / F.col(f"l{j}{j}") for i in range(j + 1, d)})
     logs = [F.log(F.col(f"l{i}{i}")) * 2 for i in range(d)]
     return estimates.select(
         *STARTED, "group_rows", "floored", sum(logs[1:], logs[0]).alias("log_determinant"), *_entries()
     )
 
 
+def _equal(keys: list[str], prefix: str) -> Column:
+    """The keys equal those of the other side, which carry a prefix."""
+    return reduce(lambda a, b: a & b, [F.col(k) == F.col(f"{prefix}{k}") for k in keys])
+
+
 def _entries() -> list[str]:
     d = len(NAMES)
     return [*[f"m{i}" for i in range(d)], *[f"l{i}{j}" for i in range(d) for j in range(i + 1)]]
@@ -205,10 +216,7 @@ def _entries() -> list[str]:
 def _with_distance(stats: DataFrame, estimates: DataFrame, keys: list[str]) -> DataFrame:
     """Add the squared Mahalanobis distance ``distance`` by forward substitution; null without an estimate."""
     factors = estimates.select(*[F.col(k).alias(f"e{k}") for k in keys], *_entries())
-    same = F.lit(True)
-    for k in keys:
-        same = same & (F.col(k) == F.col(f"e{k}"))
-    joined = stats.join(factors, same, "left")
+    joined = stats.join(factors, _equal(keys, "e"), "left")
     for i, name in enumerate(NAMES):
         rest = F.col(name) - _mu(i)
         for k in range(i):
@@ -255,20 +263,22 @@ def _starts(good: DataFrame) -> DataFrame:
     return _factor(first.unionByName(second).unionByName(third))
 
 
-def _concentrate(good: DataFrame, estimates: DataFrame) -> DataFrame:
-    """One concentration step: mean and covariance of the nearest ``COVERED`` share of each group, from each start."""
+def _concentrate(good: DataFrame, estimates: DataFrame, keys: list[str] = STARTED) -> DataFrame:
+    """One concentration step: mean and covariance of the nearest ``COVERED`` share of each group (and start)."""
     d = len(NAMES)
-    far = _with_distance(good, estimates, STARTED).where(F.col("distance").isNotNull())
+    far = _with_distance(good, estimates, keys).where(F.col("distance").isNotNull())
     # Written first, so that Spark knows its size and broadcasts it while it is small; documents then stay in place.
-    limits = materialise(far.groupBy(*STARTED).agg(
+    limits = materialise(far.groupBy(*keys).agg(
         F.percentile_approx("distance", COVERED, 10000).alias("_limit"), F.count(F.lit(1)).alias("group_rows")
-    ).select(*[F.col(k).alias(f"k{k}") for k in STARTED], "_limit", "group_rows"), "mcd-limits")
-    same = (F.col("_lang") == F.col("k_lang")) & (F.col("_source") == F.col("k_source")) & (F.col("_start") == F.col("k_start"))
-    near = far.join(limits, same).where(F.col("distance") <= F.col("_limit"))
+    ).select(*[F.col(k).alias(f"k{k}") for k in keys], "_limit", "group_rows"), "mcd-limits")
+    near = far.join(limits, _equal(keys, "k")).where(F.col("distance") <= F.col("_limit"))
     # The trimmed covariance of a normal cloud is too small by a known factor.
     cut = chi_square_quantile(COVERED, d)
     factor = COVERED / chi_square_cdf(cut, d + 2)
-    return _factor(near.groupBy(*STARTED).agg(F.first("group_rows").alias("group_rows"), *_moments([F.col(n) for n in NAMES], factor)))
+    moments = near.groupBy(*keys).agg(F.first("group_rows").alias("group_rows"), *_moments([F.col(n) for n in NAMES], factor))
+    if "_start" not in keys:
+        moments = moments.join(estimates.select(*[F.col(k).alias(f"s{k}") for k in keys], "_start"), _equal(keys, "s"))
+    return _factor(moments)
 
 
 def _moved(before: DataFrame, after: DataFrame) -> bool:
@@ -285,18 +295,20 @@ def estimates_of(good: DataFrame) -> DataFrame:
     ``good`` has ``_lang``, ``_source`` and the vector.
     """
     started = good.withColumn("_start", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
-    estimates = materialise(_starts(good), "mcd-start")
-    for _ in range(MOST_STEPS):
-        before, estimates = estimates, materialise(_concentrate(started, estimates), "mcd-step")
-        if not _moved(before, estimates):
-            break
-    else:
-        warnings.warn(f"estimates still move after {MOST_STEPS} concentration steps", stacklevel=2)
+    estimates = _starts(good)
+    for _ in range(EARLY_STEPS):
+        estimates = _concentrate(started, materialise(estimates, "mcd-start"))
     others = [c for c in estimates.columns if c not in KEY]
     # Determinants that differ by rounding only count as equal; the first start is then taken.
     order = F.struct(F.round("log_determinant", 6).alias("d"), F.col("_start").alias("s"))
     best = estimates.groupBy(*KEY).agg(F.min_by(F.struct(*others), order).alias("x"))
-    return best.select(*KEY, *[F.col(f"x.{c}").alias(c) for c in others])
+    estimates = materialise(best.select(*KEY, *[F.col(f"x.{c}").alias(c) for c in others]), "mcd-best")
+    for _ in range(MOST_STEPS):
+        before, estimates = estimates, materialise(_concentrate(good, estimates, KEY), "mcd-step")
+        if not _moved(before, estimates):
+            return estimates
+    warnings.warn(f"estimates still move after {MOST_STEPS} concentration steps", stacklevel=2)
+    return estimates
 
 
 def outlier_verdicts(documents: DataFrame) -> DataFrame:
