@@ -9,7 +9,7 @@ combines before the shuffle, and only what is left meets the dimensions. No fact
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -160,11 +160,6 @@ def _plain(star: Star, fact: DataFrame, by: list[str], base: list[str], fields:
     """Unchanged measures as tables of ``by`` and some of the measures each; together they have them all."""
     counted = [m for m in base if m in COUNTED]
     partial, merged = _partials(base, fields)
-    if len(counted) > 1 and not star.stored:
-        # Several passes, each over a few columns: the fact's plan runs once, and they read what it wrote.
-        keys = dict.fromkeys(c if star.owner_of(c) is None else star.dimensions[star.owner_of(c)].fact_key for c in by)
-        used = [*keys, fields.amount, fields.order, fields.date, fields.customer, fields.product, fields.territory]
-        fact = materialise(fact.select(*_named([c for c in dict.fromkeys(used) if c in fact.columns])), "measured")
     parts = []
     for measure in counted:
         values = [c.alias(f"_n{i}") for i, c in enumerate(COUNTED[measure](fields))]
@@ -188,9 +183,9 @@ def _changed(star: Star, by: list[str], name: str, change: Change, where: Where,
     base = change.base
     if base not in ADDITIVE and base not in COUNTED:
         raise ValueError(f"{name!r} changes the view of {base!r}, which is neither summed nor counted")
-    if change.days is not None and any(star.owner_of(c) is None and c in (fields.date,) and c not in star.date_columns for c in by):
-        raise ValueError(f"{name!r} needs {fields.date!r} to be a date column of the star, or the calendar's columns in its place")
     replaced = change.days is not None
+    if replaced and fields.date in by and not star.is_date(fields.date):
+        raise ValueError(f"{name!r} replaces days: group by columns of the calendar, or name {fields.date!r} among the star's date columns")
     date_by = [c for c in by if replaced and star.is_date(c)]
     kept = [c for c in by if c not in date_by and not change.drops(c)]
     values = [c.alias(f"_n{i}") for i, c in enumerate(COUNTED[base](fields))] if base in COUNTED else []
@@ -236,6 +231,22 @@ def _changed(star: Star, by: list[str], name: str, change: Change, where: Where,
     return cells.join(side, _same(cells, side, [(c, f"_at{by.index(c)}") for c in known]), "left").select(*_named(by), name)
 
 
+def _read_once(star: Star, by: list[str], where: Where, fields: Fields, changes: list[Change]) -> Star:
+    """The star around the columns of its fact that are needed, written once: every pass then reads a few of them.
+
+    Filters that hold for all measures are applied before; the others are left to the passes.
+    """
+    common = {
+        c: t for c, t in where.items()
+        if not any(change.drops(c) or (change.days is not None and star.is_date(c)) for change in changes)
+    }
+    columns = [*by, *where]
+    keys = [c if star.owner_of(c) is None else star.dimensions[star.owner_of(c)].fact_key for c in columns]
+    used = [*keys, fields.amount, fields.order, fields.date, fields.customer, fields.product, fields.territory]
+    fact = C.in_view(star, common).select(*_named([c for c in dict.fromkeys(used) if c in star.fact.columns]))
+    return replace(star, fact=materialise(fact, "measured"), stored=True)
+
+
 def measure_rows(
     rows: DataFrame, by: list[str], measures: list[str], fields: Fields = FLAT_FIELDS, where: Where | None = None,
     date_columns: tuple[str, ...] = (), stored: bool = False,
@@ -267,6 +278,9 @@ def evaluate(
     base = _expand(measures, known)
     where = where or {}
     plain = [m for m in base if m not in known]
+    changed = [known[m] for m in base if m in known]
+    if not star.stored and (changed or sum(m in COUNTED for m in plain) > 1):
+        star = _read_once(star, by, where, fields, changed)
     parts = _plain(star, C.in_view(star, where), by, plain, fields) if plain else []
     parts += [_changed(star, by, m, known[m], where, fields) for m in base if m in known]
     if len(parts) == 1:
