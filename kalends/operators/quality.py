@@ -12,7 +12,6 @@ from pyspark.sql import types as T
 from kalends.functions.scalars import safe_div
 from kalends.operators.calendar import date_bounds
 from kalends.operators.distinct import distinct_counts
-from kalends.operators.joins import aggregate_through_join
 
 
 def _stacked(parts: list[DataFrame]) -> DataFrame:
