@@ -31,8 +31,9 @@ from kalends.storage import materialise
 
 BYTE_LEVEL = public_tokenizers.path("byte_bpe_50k.json")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
-#: A block of documents ends at so many characters; its units are encoded and aligned so many at a time.
+#: A block ends at so many characters or documents; its units are encoded and aligned so many at a time.
 BLOCK_CHARS = 8_000_000
+BLOCK_DOCS = 50_000
 UNITS_AT_ONCE = 20_000
 #: Ends tried one by one around the middle before all ends of an interval are looked up at once.
 TRIES = 16
@@ -281,7 +282,7 @@ def aligned_blocks(documents: DataFrame, json_path: str = BYTE_LEVEL, ranks_path
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 block.add(doc_id, text.as_py())
-                if block.chars >= BLOCK_CHARS:
+                if block.chars >= BLOCK_CHARS or len(block.ids) >= BLOCK_DOCS:
                     yield block.batch(base + number, a, b)
                     number, block = number + 1, _Block()
         if block.ids:
