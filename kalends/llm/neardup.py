@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from kalends.llm.common import SPACES
 from kalends.llm.tokens import Remembered
-from kalends.storage import Scratch, materialise
+from kalends.storage import Scratch, materialise, temporary
 
 WORDS = 5
 #: Two sets are linked when SIMILAR_TO * |union| <= 100 * |intersection|.
@@ -362,22 +362,25 @@ def connected(links: DataFrame, scratch: Scratch) -> DataFrame:
     Alternates two steps until nothing changes: every member's larger neighbours are hung onto its least
     neighbour, then its smaller ones are.
     """
-    edges = scratch.keep(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where(F.col("u") != F.col("v")).distinct(), "edges")
+    rounds = Scratch(scratch.spark)  # tables of the rounds, dropped when the result is written
+    edges = rounds.keep(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where(F.col("u") != F.col("v")).distinct(), "edges")
     before = None
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         larger = both.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        larger = scratch.keep(larger, "stars")
+        larger = rounds.keep(larger, "stars")
         least = larger.groupBy("u").agg(F.min("v").alias("m"))
         smaller = larger.join(least, "u").select(F.explode(F.array(
             F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v"))
         )).alias("e")).select("e.u", "e.v").where(F.col("u") != F.col("v")).distinct()
-        edges = scratch.keep(smaller, "stars")
+        edges = rounds.keep(smaller, "stars")
         # Sums of hashes as decimals: exact, in any order.
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         if now == before:
-            return edges.select(F.col("u").alias("member"), F.col("v").alias("root"))
+            result = scratch.keep(edges.select(F.col("u").alias("member"), F.col("v").alias("root")), "roots")
+            rounds.drop()
+            return result
         before = now
 
 
@@ -417,6 +420,11 @@ def components(documents: DataFrame) -> DataFrame:
     null doc_id is linked with nothing, has a null component and is kept; an empty table gives no
     rows; columns other than doc_id and text are ignored.
     """
+    with temporary(documents.sparkSession, keep=lambda folder: "/components-" in folder):
+        return materialise(_components(documents), "components")
+
+
+def _components(documents: DataFrame) -> DataFrame:
     scratch = Scratch(documents.sparkSession)
     documents = documents.select(F.col("doc_id").cast("long"), "text")
     rows = materialise(summaries(documents), "summaries")
@@ -426,7 +434,8 @@ def components(documents: DataFrame) -> DataFrame:
         "members",
     )
     described = members.select("member", "tokens")
-    small, left = _grown_nodes(described, scratch)
+    grown = Scratch(documents.sparkSession)
+    small, left = _grown_nodes(described, grown)
     candidates = scratch.keep(_compared(small, described), "candidates")
     involved = candidates.select(F.explode(F.array("a", "b")).alias("member")).distinct().join(members.drop("tokens"), "member")
     texts = documents.withColumnRenamed("doc_id", "member").join(involved, "member")
@@ -442,6 +451,7 @@ def components(documents: DataFrame) -> DataFrame:
     links = scratch.keep(_confirmed(nearest, sets), "links")
     roots = connected(links, scratch)
     clusters = None if left is None else _clusters(left, roots, scratch)
+    grown.drop()
     if clusters is not None:
         texts = documents.withColumnRenamed("doc_id", "member").join(clusters.select("member").join(members.drop("tokens"), "member"), "member")
         whole = scratch.keep(shingle_sets(texts).distinct(), "sets")

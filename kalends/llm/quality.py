@@ -3,7 +3,7 @@
 Each document becomes a vector of transformed text statistics. For every (language, source) the
 minimum covariance determinant estimate is found by concentration steps: the three quarters of the documents nearest
 to a centre give the next centre and covariance, and so on. The first steps run from several fixed starts (see
-``_starts``); that with the least determinant then goes on until it settles. Documents whose squared Mahalanobis distance
+``_starts``); that with the least determinant then goes on. Documents whose squared Mahalanobis distance
 exceeds a chi-square quantile are rejected.
 
 All of it is DataFrame expressions: statistics are read off each text inside its row, estimates are
@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kalends.llm.common import SPACES, words_of
-from kalends.storage import materialise
+from kalends.storage import materialise, temporary
 
 #: Base rules: fewer words fail, and so do texts of which more than this share lies in repeated 3-word windows.
 MIN_WORDS = 50
@@ -32,11 +32,11 @@ MAX_REPEAT_PERCENT = 50
 #: cutoff: one in a thousand of a normal cloud is rejected.
 COVERED = 0.75
 INSIDE = 0.999
-#: Every start is concentrated EARLY_STEPS times; the one with the least determinant by then goes on until no entry of its
-#: estimate moves by more than SETTLED, MOST_STEPS times at most.
+#: Every start is concentrated EARLY_STEPS times, the one with the least determinant by then LATER_STEPS times more, at every
+#: size of the table. If an entry of its estimate still moves by more than SETTLED in the last step, a warning says so.
 EARLY_STEPS = 2
+LATER_STEPS = 10
 SETTLED = 1e-6
-MOST_STEPS = 40
 
 #: Smallest group with an estimate of its own. The rows of smaller ones are judged by the estimate of all good rows of their
 #: language, and where even the language has fewer, by that of all good rows there are.
@@ -303,11 +303,10 @@ def estimates_of(good: DataFrame) -> DataFrame:
     order = F.struct(F.round("log_determinant", 6).alias("d"), F.col("_start").alias("s"))
     best = estimates.groupBy(*KEY).agg(F.min_by(F.struct(*others), order).alias("x"))
     estimates = materialise(best.select(*KEY, *[F.col(f"x.{c}").alias(c) for c in others]), "mcd-best")
-    for _ in range(MOST_STEPS):
+    for _ in range(LATER_STEPS):
         before, estimates = estimates, materialise(_concentrate(good, estimates, KEY), "mcd-step")
-        if not _moved(before, estimates):
-            return estimates
-    warnings.warn(f"estimates still move after {MOST_STEPS} concentration steps", stacklevel=2)
+    if _moved(before, estimates):
+        warnings.warn(f"estimates still move after {LATER_STEPS} concentration steps", stacklevel=2)
     return estimates
 
 
@@ -323,6 +322,12 @@ def outlier_verdicts(documents: DataFrame) -> DataFrame:
     good rows are judged by all good rows of their language, or by all there are; an empty table gives an empty result;
     columns other than doc_id, text, lang and source are ignored.
     """
+    spark = documents.sparkSession
+    with temporary(spark, keep=lambda folder: "/verdicts-" in folder):
+        return materialise(_verdicts(documents), "verdicts")
+
+
+def _verdicts(documents: DataFrame) -> DataFrame:
     stats = materialise(_grouped(materialise(text_statistics(documents), "text-statistics")), "grouped-statistics")
     good = stats.where(~F.col("base_failed")).select(F.explode("_adds").alias("_group"), *NAMES).select(
         F.col("_group.l").alias("_lang"), F.col("_group.s").alias("_source"), *NAMES

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kalends.storage import Scratch
+from kalends.storage import Scratch, temporary
 
 #: Bytes that a removed string has at least unless the caller says otherwise, and bytes of an anchor.
 LENGTH = 400
@@ -385,9 +385,8 @@ def removal(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     texts of that length lose everything; an empty table gives no rows; columns other than doc_id and
     text are ignored.
     """
-    scratch = Scratch(documents.sparkSession)
     documents = documents.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
-    changes = _changes(documents, scratch, length)
+    changes = _changes(documents, length)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -406,12 +405,18 @@ def removal(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     )
 
 
-def _changes(documents: DataFrame, scratch: Scratch, length: int) -> DataFrame:
-    """The texts that lose anything, by key: copies lose everything (``_gone``), others their ``spans``."""
-    rows, spans = repeated_spans(documents, scratch, length)
-    copied = rows.where("copies > 1").select("key").distinct().withColumn("_gone", F.lit(True))
-    changes = _runs_of_text(scratch, spans).join(copied, "key", "full").select(F.col("key").alias("_key"), "_gone", "spans")
-    return scratch.keep(changes, "changes")
+def _changes(documents: DataFrame, length: int) -> DataFrame:
+    """The texts that lose anything, by key: copies lose everything (``_gone``), others their ``spans``.
+
+    What was written on the way goes when this is.
+    """
+    spark = documents.sparkSession
+    with temporary(spark, keep=lambda folder: "/changes-" in folder):
+        scratch = Scratch(spark)
+        rows, spans = repeated_spans(documents, scratch, length)
+        copied = rows.where("copies > 1").select("key").distinct().withColumn("_gone", F.lit(True))
+        changes = _runs_of_text(scratch, spans).join(copied, "key", "full").select(F.col("key").alias("_key"), "_gone", "spans")
+        return scratch.keep(changes, "changes")
 
 
 def without_repeats(documents: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -420,8 +425,7 @@ def without_repeats(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     Bytes of characters that a run covers only in part stay, so that the text remains text; ``n_chars``, if there,
     is counted anew. Null texts stay null. Texts without repeats are passed on as they are.
     """
-    scratch = Scratch(documents.sparkSession)
-    changes = _changes(documents.select(F.col("doc_id").cast("long"), "text"), scratch, length)
+    changes = _changes(documents.select(F.col("doc_id").cast("long"), "text"), length)
 
     @F.pandas_udf("string")
     def cleaned(texts: pd.Series, spans: pd.Series) -> pd.Series:

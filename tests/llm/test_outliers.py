@@ -25,7 +25,7 @@ def distances(x, centre, cov):
 
 
 def by_loop(x):
-    """The least determinant over three starts, each concentrated a little; the least of them until nothing moves."""
+    """The least determinant over three starts, each concentrated a little; the least of them some steps more."""
     d = x.shape[1]
     median = np.array([rank(c, 0.5) for c in x.T])
     spread = np.array([(rank(c, 0.75) - rank(c, 0.25)) / 1.349 for c in x.T])
@@ -44,7 +44,7 @@ def by_loop(x):
             centre, cov = step(centre, cov)
         found.append((round(np.linalg.slogdet(floored(cov))[1], 6), number, centre, cov))
     _, number, centre, cov = min(found, key=lambda f: f[:2])
-    for _ in range(Q.MOST_STEPS):
+    for _ in range(Q.LATER_STEPS):
         centre, cov = step(centre, cov)
     return np.linalg.slogdet(floored(cov))[1], number, centre, cov
 
