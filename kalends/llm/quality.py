@@ -35,7 +35,7 @@ INSIDE = 0.999
 #: Every start is concentrated EARLY_STEPS times, the one with the least determinant by then LATER_STEPS times more, at every
 #: size of the table. If an entry of its estimate still moves by more than SETTLED in the last step, a warning says so.
 EARLY_STEPS = 2
-LATER_STEPS = 10
+LATER_STEPS = 4
 SETTLED = 1e-6
 
 #: Smallest group with an estimate of its own. The rows of smaller ones are judged by the estimate of all good rows of their
