@@ -18,6 +18,7 @@ from kalends.sources import samples
 from kalends.sources.checked import accepted_rows, read_checked_csv, rejected_rows
 from kalends.sources.names import Names
 from kalends.sources.readers import FLAT_SCHEMA
+from kalends.sources.sinks import write_text_csv
 from kalends.sources.versions import VersionedTable
 from kalends.storage import Scratch, materialise
 
@@ -45,7 +46,7 @@ def flat_csv_rejects(spark, sf_dir):
         if f.name in _PLANTED else F.col(f.name).cast("string")
         for f in FLAT_SCHEMA.fields
     ]
-    lines_as_flat(spark, sf_dir).select(*spoiled).write.option("header", True).option("quote", "").option("emptyValue", "").csv(path)
+    write_text_csv(lines_as_flat(spark, sf_dir).select(*spoiled), path)
     checked = read_checked_csv(spark, path, FLAT_SCHEMA)
     rejects = materialise(rejected_rows(checked, path), "rejects")
     per_reason = rejects.groupBy("column", "reason", "value").agg(F.count(F.lit(1)).alias("rows"))

@@ -1,11 +1,14 @@
 """A comma-separated file read once, every row typed and every value that does not fit named with its line and reason.
 
 The file is read as lines, so that a row with too few or too many fields, or a value of the wrong kind, can be told by its
-place. One projection splits, casts and judges a line; accepted and rejected rows are filters of the same result.
+place. A line is split, cast and judged once; accepted and rejected rows are filters of the same result.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,6 +30,11 @@ def _reason(value: Column, kind: T.DataType) -> Column:
     return F.lit(REASONS["day"])
 
 
+def _evaluated_once(value: Column) -> Column:
+    """``value`` as a row generator of one row. Filters are not moved below generators, so they do not repeat what it takes to compute it."""
+    return F.explode(F.array(value))
+
+
 def read_checked_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The columns of ``schema`` with its types, and ``_rejects``: an array of (column, value, reason), empty for sound rows.
 
@@ -39,29 +47,25 @@ def read_checked_csv(spark: SparkSession, path: str, schema: T.StructType) -> Da
         "value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_at"),
     )
-    header = ",".join(names)
-    is_header = (F.col("_block") == 0) & (F.col("value") == header)
-    fields = F.split("value", ",", -1)
-    given = lines.withColumn("_fields", fields).withColumn("_header", is_header)
+    is_header = (F.col("_block") == 0) & (F.col("value") == ",".join(names))
+    given = lines.where(~is_header).select("*", _evaluated_once(F.split("value", ",", -1)).alias("_fields"))
 
     def field(i: int) -> Column:
         value = F.get("_fields", F.lit(i))
         return F.when(value != "", value)
 
-    checks = [
-        F.when(field(i).isNotNull() & field(i).try_cast(f.dataType).isNull(), F.struct(
-            F.lit(f.name).alias("column"), field(i).alias("value"), _reason(field(i), f.dataType).alias("reason")
-        ))
+    typed = given.select(*[field(i).try_cast(f.dataType).alias(f.name) for i, f in enumerate(schema.fields)], "value", "_fields", "_file", "_block", "_at")
+    wrong = [(F.size("_fields") != len(names), F.lit(None).cast("string"), F.col("value"), F.lit(REASONS["fields"]))] + [
+        (field(i).isNotNull() & F.col(f"`{f.name}`").isNull(), F.lit(f.name), field(i), _reason(field(i), f.dataType))
         for i, f in enumerate(schema.fields) if not isinstance(f.dataType, T.StringType)
     ]
-    count = F.when(F.size("_fields") != len(names), F.struct(
-        F.lit(None).cast("string").alias("column"), F.col("value"), F.lit(REASONS["fields"]).alias("reason")
-    ))
-    typed = given.select(
-        *[field(i).try_cast(f.dataType).alias(f.name) for i, f in enumerate(schema.fields)],
-        F.array_compact(F.array(count, *checks)).alias("_rejects"), "_file", "_block", "_at", "_header",
-    )
-    return typed.where(~F.col("_header")).drop("_header")
+    listed = F.array_compact(F.array(*[
+        F.when(found, F.struct(column.alias("column"), value.alias("value"), reason.alias("reason"))) for found, column, value, reason in wrong
+    ]))
+    # Most rows are sound: they are told by their nulls, and no list is put together for them.
+    unsound = reduce(or_, [F.coalesce(found, F.lit(False)) for found, *_ in wrong])
+    rejects = _evaluated_once(F.when(unsound, listed).otherwise(F.array().cast("array<struct<column: string, value: string, reason: string>>")))
+    return typed.select(*[F.col(f"`{c}`") for c in names], rejects.alias("_rejects"), "_file", "_block", "_at")
 
 
 def accepted_rows(checked: DataFrame) -> DataFrame:

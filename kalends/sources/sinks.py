@@ -36,3 +36,12 @@ def write_table(
         writer.save(target)
     else:
         writer.saveAsTable(check_table_name(target))
+
+
+def write_text_csv(df: DataFrame, path: str) -> None:
+    """Write columns of text as comma-separated UTF-8 files with a header row, without quotes, for ``read_text_csv``.
+
+    The files are compressed: text of a wide table takes several times the space of what it says.
+    """
+    (df.write.option("header", True).option("quote", "").option("emptyValue", "")
+     .option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").csv(path))

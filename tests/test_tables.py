@@ -72,6 +72,28 @@ def test_lines_are_numbered_across_blocks(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_a_line_is_split_once_and_a_sound_one_gets_no_list(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    (tmp_path / "a.csv").write_text("n,d,x,s\n1,2024-02-29,1.5,ok\n")
+    checked = read_checked_csv(spark, str(tmp_path), T.StructType.fromDDL(SCHEMA))
+    for df in (checked, accepted_rows(checked), rejected_rows(checked, str(tmp_path))):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("split(value") == 1, plan
+    assert "CASE WHEN" in plan and "Generate explode(array(CASE WHEN" in plan, plan
+
+
+def test_written_text_is_compressed_and_read_again(spark, tmp_path):
+    from kalends.sources.readers import read_text_csv
+    from kalends.sources.sinks import write_text_csv
+
+    values = [("1", 'a "quoted" word'), ("2", None), (None, "ñandú")]
+    write_text_csv(spark.createDataFrame(values, "n string, s string"), str(tmp_path / "t"))
+    files = [f for f in os.listdir(tmp_path / "t") if f.startswith("part-")]
+    assert files and all(f.endswith(".csv.gz") for f in files)
+    assert rows(read_text_csv(spark, str(tmp_path / "t"), ["n", "s"])) == sorted(values, key=str)
+
+
 def test_a_table_is_replaced_whole_or_not_at_all(spark, tmp_path):
     table = VersionedTable(spark, str(tmp_path / "t"))
     with pytest.raises(ValueError, match="no version"):
