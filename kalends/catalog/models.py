@@ -16,7 +16,7 @@ from kalends.plans import flat as flat_plans
 from kalends.plans import star as star_plans
 from kalends.sources import samples
 from kalends.sources.readers import FLAT_SCHEMA, cast_columns, read_flat_csv
-from kalends.sources.sinks import write_table
+from kalends.sources.sinks import write_table, write_text_csv
 from kalends.storage import Scratch, materialise
 
 # Half-up to four places in whole numbers: neither engine's rounding of a double is involved.
@@ -348,8 +348,7 @@ def flat_csv_round_trip(spark, sf_dir):
     """The flat table written as CSV and read back with its declared types."""
     path = Scratch(spark).folder("flat-csv")
     text_columns = [F.col(f.name).cast("string") for f in FLAT_SCHEMA.fields]
-    (lines_as_flat(spark, sf_dir).select(*text_columns)
-     .write.option("header", True).option("quote", "").option("emptyValue", "").csv(path))
+    write_text_csv(lines_as_flat(spark, sf_dir).select(*text_columns), path)
     return _flat_summary(read_flat_csv(spark, path))
 
 
