@@ -40,7 +40,7 @@ FROM lines JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = t
 LEFT JOIN supplier ON s_suppkey = l_suppkey""")
 def flat_sales(spark, sf_dir):
     """The whole wide table, with people joined as customers and as sellers."""
-    flat = flat_plans.flat_from_order_entry(samples.order_entry(spark, sf_dir))
+    flat = flat_plans.flat_from_order_entry(samples.order_entry(spark, sf_dir, amounts=False), samples.line_amounts())
     return flat.select(
         whole("SalesOrderID", "sales_order_id"), whole("SalesOrderDetailID", "line_id"),
         text(F.to_date("OrderDate"), "order_date"), text(F.to_date("ShipDate"), "ship_date"),
@@ -153,7 +153,7 @@ def star_row_counts(spark, sf_dir):
 
 def lines_as_flat(spark, sf_dir):
     """The flat table under the 23 column names of the file format; sellers are those of the lines."""
-    flat = flat_plans.flat_from_order_entry(samples.order_entry(spark, sf_dir)).withColumnsRenamed({
+    flat = flat_plans.flat_from_order_entry(samples.order_entry(spark, sf_dir, amounts=False), samples.line_amounts()).withColumnsRenamed({
         "SalesOrderID": "SalesOrderNumber", "SalesOrderDetailID": "SalesOrderLineNumber", "CustomerID": "ClienteID",
         "TerritoryID": "TerritorioID", "CountryRegionCode": "Pais", "ProductID": "ProductoID",
     }).withColumn("DueDate", F.lit(None).cast("timestamp_ntz"))

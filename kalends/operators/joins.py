@@ -16,18 +16,26 @@ from pyspark.sql import functions as F
 
 # A dimension of at most this many rows is sent to every executor.
 BROADCAST_ROWS = 200_000
+# One of a key and a single short value may have so many times as many.
+NARROW = 2
 
 
-def broadcast_if_small(side: DataFrame, counted: DataFrame | None = None) -> DataFrame:
+def is_small(counted: DataFrame) -> bool:
+    """Whether a count finds few enough rows for a broadcast."""
+    return counted.count() <= BROADCAST_ROWS
+
+
+def broadcast_if_small(side: DataFrame, counted: DataFrame | None = None, *, narrow: bool = False) -> DataFrame:
     """Mark ``side`` for broadcast if a count finds few enough rows, otherwise leave it to a shuffle.
 
     The count decides before the large side is shuffled, and from rows instead of a guess:
     Spark's own estimate for a flattened snowflake is the product of the sizes joined. Give
     ``counted`` when another table is known to have at least as many rows and is cheaper to
-    count; a plain Parquet table is counted from its file footers.
+    count; a plain Parquet table is counted from its file footers. ``narrow`` says that the side
+    has a key and one short value only, so that more rows of it are still small.
     """
     rows = (side if counted is None else counted).count()
-    return F.broadcast(side) if rows <= BROADCAST_ROWS else side
+    return F.broadcast(side) if rows <= BROADCAST_ROWS * (NARROW if narrow else 1) else side
 
 
 def join_growing(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kalends.functions.scalars import full_name
-from kalends.operators.joins import broadcast_if_small, join_growing
+from kalends.operators.joins import broadcast_if_small, is_small, join_growing
 from kalends.operators.numbering import assign_round_robin
 
 Tables = dict[str, DataFrame]
@@ -31,21 +31,25 @@ def flatten_products(products: DataFrame, subcategories: DataFrame, categories:
     )
 
 
-def flat_from_order_entry(t: Tables) -> DataFrame:
+def flat_from_order_entry(t: Tables, computed: dict[str, Column] | None = None) -> DataFrame:
     """The flat table of an order system.
 
     People are joined in two roles, as customers and as sellers. Everything that belongs to
     an order is joined to the headers and the snowflake is flattened first, so the line
     table, by far the largest, is joined only three times: with headers, products and sellers.
-    The headers come first: that join always shuffles, and then moves the bare lines.
+    The headers come first: that join always shuffles, and then moves the bare lines. Products come
+    next and may shuffle the lines again, with what the headers brought; sides that are broadcast add
+    their columns after that, the territories too if they are few. ``computed`` are columns that follow
+    from others of the line; they are added last, so that only what they follow from is moved.
     """
     buyers = t["customers"].select("CustomerID", "PersonID").join(
         t["people"].select(F.col("BusinessEntityID").alias("PersonID"), "FirstName", "LastName"), "PersonID", "left"
-    )
+    ).withColumn("NombreCliente", full_name("FirstName", "LastName"))
     territories = t["territories"].select("TerritoryID", F.col("Name").alias("Territorio"), "CountryRegionCode")
-    orders = t["headers"].join(buyers, "CustomerID").join(
-        broadcast_if_small(territories, t["territories"]), "TerritoryID"
-    )
+    few_territories = is_small(t["territories"])
+    orders = t["headers"].join(buyers, "CustomerID")
+    if not few_territories:
+        orders = orders.join(territories, "TerritoryID")
     products = flatten_products(t["products"], t["subcategories"], t["categories"])
     # People grow with the customers, sellers do not: only those who can match are kept and counted.
     selling = t["sellers"].select(F.col("BusinessEntityID")).distinct() if "sellers" in t else (
@@ -53,15 +57,16 @@ def flat_from_order_entry(t: Tables) -> DataFrame:
         .select(F.col("SalesPersonID").alias("BusinessEntityID")).distinct()
     )
     sellers = person_names(t["people"].join(selling, "BusinessEntityID", "left_semi"), "SalesPersonID", "NombreVendedor")
+    lines = join_growing(t["lines"], orders, "SalesOrderID").join(broadcast_if_small(products, t["products"]), "ProductID")
+    if few_territories:
+        lines = lines.join(F.broadcast(territories), "TerritoryID")
     return (
-        join_growing(t["lines"], orders, "SalesOrderID")
-        .join(broadcast_if_small(products, t["products"]), "ProductID")
-        .join(broadcast_if_small(sellers, selling), "SalesPersonID", "left")
+        lines.join(broadcast_if_small(sellers, selling, narrow=True), "SalesPersonID", "left").withColumns(computed or {})
         .select(
             "SalesOrderID", "SalesOrderDetailID", "OrderDate",
             *[c for c in ("DueDate", "ShipDate") if c in t["headers"].columns + t["lines"].columns],
             F.col("Status").alias("EstadoPedido"),
-            "CustomerID", "FirstName", "LastName", full_name("FirstName", "LastName").alias("NombreCliente"),
+            "CustomerID", "FirstName", "LastName", "NombreCliente",
             "TerritoryID", "Territorio", "CountryRegionCode",
             "ProductID", "Producto", "Color", "StandardCost", "ListPrice", "Subcategoria", "Categoria",
             F.col("SalesPersonID").alias("VendedorID"), "NombreVendedor",

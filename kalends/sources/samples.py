@@ -36,7 +36,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_parquet(spark, f"{sf_dir}/{name}.parquet", T.StructType.fromDDL(_TABLES[name]))
 
 
-def _line_amounts() -> dict:
+def line_amounts() -> dict:
+    """Quantity and money of a line, from the columns that ``bare_lines`` has of it."""
     price = F.col("l_extendedprice").cast("decimal(15,2)")
     return {
         "OrderQty": F.col("l_quantity").cast("long"),
@@ -46,17 +47,23 @@ def _line_amounts() -> dict:
     }
 
 
-def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bare_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order lines with the columns that ``line_amounts`` are computed from. Those take less room than the amounts."""
     return table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("SalesOrderID"),
         F.col("l_linenumber").alias("SalesOrderDetailID"),
         F.col("l_partkey").alias("ProductID"),
         F.col("l_suppkey").alias("SalesPersonID"),
         F.col("l_shipdate").alias("ShipDate"),
-        *[c.alias(n) for n, c in _line_amounts().items()],
+        "l_quantity", "l_extendedprice", "l_discount",
     )
 
 
+def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = bare_lines(spark, sf_dir).withColumns(line_amounts())
+    return lines.drop("l_quantity", "l_extendedprice", "l_discount")
+
+
 def order_headers(spark: SparkSession, sf_dir: str, *, territory: bool = True) -> DataFrame:
     """One row per order. The territory is the customer's nation; leave it out to spare the join."""
     headers = table(spark, sf_dir, "orders").select(
@@ -93,14 +100,18 @@ class OnDemand(dict):
         return self[name]
 
 
-def order_entry(spark: SparkSession, sf_dir: str, *, territory: bool = True) -> dict[str, DataFrame]:
-    """The tables of an order system. Customers are people 0, 1, ...; sellers are people -1, -2, ..."""
+def order_entry(spark: SparkSession, sf_dir: str, *, territory: bool = True, amounts: bool = True) -> dict[str, DataFrame]:
+    """The tables of an order system. Customers are people 0, 1, ...; sellers are people -1, -2, ...
+
+    Without ``amounts`` the lines are ``bare_lines``, for plans that compute ``line_amounts`` themselves.
+    """
+    lines = order_lines if amounts else bare_lines
     def source(name: str) -> DataFrame:
         return table(spark, sf_dir, name)
 
     customer, seller, subcategory = F.col("c_custkey"), -1 - F.col("s_suppkey"), F.concat_ws("/", "p_type", "p_brand")
     return OnDemand({
-        "lines": lambda: order_lines(spark, sf_dir).withColumn("SalesPersonID", -1 - F.col("SalesPersonID")),
+        "lines": lambda: lines(spark, sf_dir).withColumn("SalesPersonID", -1 - F.col("SalesPersonID")),
         "headers": lambda: order_headers(spark, sf_dir, territory=territory),
         "customers": lambda: source("customer").select(customer.alias("CustomerID"), customer.alias("PersonID")),
         "people": lambda: _named_people(source("customer"), customer, "c_name").unionByName(

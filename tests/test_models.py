@@ -248,3 +248,35 @@ def test_sellers_are_broadcast_though_people_are_many(spark, entry, monkeypatch)
     plan = flat_plans.flat_from_order_entry(entry)._jdf.queryExecution().optimizedPlan().toString()
     hinted = [line for line in plan.splitlines() if "Join LeftOuter, (SalesPersonID" in line]
     assert hinted and all("rightHint=(strategy=broadcast)" in line for line in hinted), plan
+
+
+def test_many_sellers_are_still_broadcast(spark, monkeypatch):
+    from kalends.operators import joins
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 3)
+    hinted = lambda df: "broadcast" in df._jdf.queryExecution().analyzed().toString()
+    assert hinted(broadcast_if_small(spark.range(6), narrow=True)) and not hinted(broadcast_if_small(spark.range(7), narrow=True))
+    assert not hinted(broadcast_if_small(spark.range(4)))
+
+
+def test_lines_move_without_what_is_looked_up_or_computed_later(spark, monkeypatch):
+    """Neither the territory's names nor the amounts are there when the lines are dealt by product."""
+    from kalends.operators import joins
+    from kalends.sources import samples
+    sf_dir = "/root/testdata/sf0.001"
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 50)  # more than the nations, fewer than the products
+    t = samples.order_entry(spark, sf_dir, amounts=False)
+    flat = flat_plans.flat_from_order_entry(t, samples.line_amounts())
+    joined = [x for x in flat._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join " in x]
+    at = {key: next(i for i, x in enumerate(joined) if f"({key}#" in x) for key in ("ProductID", "TerritoryID")}
+    assert at["TerritoryID"] < at["ProductID"], joined  # the upper join is the later one
+    whole = flat_plans.flat_from_order_entry(samples.order_entry(spark, sf_dir))
+    assert sorted(map(str, flat.collect())) == sorted(map(str, whole.collect()))
+
+
+def test_territories_beyond_a_broadcast(spark, monkeypatch):
+    from kalends.operators import joins
+    from kalends.sources import samples
+    t = samples.order_entry(spark, "/root/testdata/sf0.001")
+    few = sorted(map(str, flat_plans.flat_from_order_entry(t).collect()))
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 0)
+    assert sorted(map(str, flat_plans.flat_from_order_entry(t).collect())) == few
