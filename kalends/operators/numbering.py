@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kalends.functions.scalars import bucket_of
-from kalends.operators.joins import BROADCAST_ROWS
+from kalends.operators.joins import BROADCAST_ROWS, NARROW
 from kalends.storage import materialise
 
 # monotonically_increasing_id() keeps the row's position within its partition in the lower 33 bits.
@@ -60,6 +60,6 @@ def assign_round_robin(
     numbered = global_row_number(fact, fact_order, "_number")
     return (
         numbered.withColumn("_slot", bucket_of("_number", count))
-        .join(F.broadcast(slots) if count <= BROADCAST_ROWS else slots, "_slot")
+        .join(F.broadcast(slots) if count <= BROADCAST_ROWS * NARROW else slots, "_slot")
         .drop("_slot", "_number")
     )

@@ -178,7 +178,7 @@ def flat_from_warehouse(t: Tables, order_by: list[str] | None = None, *, dealt:
         lines.join(broadcast_if_small(customers), "ClienteID")
         .join(broadcast_if_small(products, t["products"]), "ProductoID")
         .join(broadcast_if_small(territories), "TerritorioID")
-        .join(broadcast_if_small(sellers), "VendedorID")
+        .join(broadcast_if_small(sellers, narrow=True), "VendedorID")
         .select(
             "SalesOrderNumber", "SalesOrderLineNumber", "OrderDate", "DueDate", "ShipDate", "ClienteID",
             "NombreCliente", "TerritorioID", "Territorio", "Pais", "ProductoID", "Producto", "Color",

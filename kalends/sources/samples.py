@@ -145,7 +145,7 @@ def warehouse(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The tables of an existing warehouse: a sales fact without sellers, and its dimensions."""
     entry = order_entry(spark, sf_dir)
     return OnDemand({
-        "sales": lambda: join_growing(order_lines(spark, sf_dir), entry["headers"], "SalesOrderID").select(
+        "sales": lambda: join_growing(bare_lines(spark, sf_dir), entry["headers"], "SalesOrderID").withColumns(line_amounts()).select(
             F.col("SalesOrderID").alias("SalesOrderNumber"), F.col("SalesOrderDetailID").alias("SalesOrderLineNumber"),
             "OrderDate", F.lit(None).cast("timestamp_ntz").alias("DueDate"), "ShipDate",
             F.col("CustomerID").alias("CustomerKey"), F.col("TerritoryID").alias("SalesTerritoryKey"),
