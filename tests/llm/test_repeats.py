@@ -61,3 +61,17 @@ def test_texts_without_repeats_keep_whole_characters(spark):
     for (i, t), (size, removed, _, _) in zip(enumerate(rows), brute(rows)):
         left = len((out[i].text or "").encode())
         assert size - removed <= left <= size - removed + 12
+
+
+def test_anchors_are_listed_under_short_keys_and_once_for_repeated_rows(spark, monkeypatch):
+    """An anchor's row holds half a hash as bytes, not the 64 characters of a whole one."""
+    written = {}
+    keep = repeats.Scratch.keep
+    monkeypatch.setattr(repeats.Scratch, "keep", lambda self, df, label: written.setdefault(label, keep(self, df, label)))
+    text = "".join(map(str, range(300)))
+    df = spark.createDataFrame([(7, text), (7, text), (8, "z" + text)], "doc_id long, text string")
+    scratch = repeats.Scratch(spark)
+    repeats.repeated_spans(df, scratch)[1].count()
+    listed = [(bytes(r["short"]), r["anchor"]) for r in written["anchors"].collect()]
+    assert len(listed) == len(set(listed)) and {len(k) for k, _ in listed} == {16} and len({k for k, _ in listed}) == 2
+    scratch.drop()
