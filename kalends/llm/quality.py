@@ -213,9 +213,12 @@ def _entries() -> list[str]:
     return [*[f"m{i}" for i in range(d)], *[f"l{i}{j}" for i in range(d) for j in range(i + 1)]]
 
 
-def _with_distance(stats: DataFrame, estimates: DataFrame, keys: list[str]) -> DataFrame:
-    """Add the squared Mahalanobis distance ``distance`` by forward substitution; null without an estimate."""
-    factors = estimates.select(*[F.col(k).alias(f"e{k}") for k in keys], *_entries())
+def _with_distance(stats: DataFrame, estimates: DataFrame, keys: list[str], *more: str) -> DataFrame:
+    """Add the squared Mahalanobis distance ``distance`` by forward substitution; null without an estimate.
+
+    ``more`` columns of the estimates are added too.
+    """
+    factors = estimates.select(*[F.col(k).alias(f"e{k}") for k in keys], *_entries(), *more)
     joined = stats.join(factors, _equal(keys, "e"), "left")
     for i, name in enumerate(NAMES):
         rest = F.col(name) - _mu(i)
@@ -223,7 +226,7 @@ def _with_distance(stats: DataFrame, estimates: DataFrame, keys: list[str]) -> D
             rest = rest - F.col(f"l{i}{k}") * F.col(f"_y{k}")
         joined = joined.withColumn(f"_y{i}", rest / F.col(f"l{i}{i}"))
     squares = [F.col(f"_y{i}") * F.col(f"_y{i}") for i in range(len(NAMES))]
-    return joined.withColumn("distance", sum(squares[1:], squares[0])).select(*stats.columns, "distance")
+    return joined.withColumn("distance", sum(squares[1:], squares[0])).select(*stats.columns, "distance", *more)
 
 
 def _moments(names: list[Column], factor: float) -> list[Column]:
@@ -266,19 +269,22 @@ def _starts(good: DataFrame) -> DataFrame:
 def _concentrate(good: DataFrame, estimates: DataFrame, keys: list[str] = STARTED) -> DataFrame:
     """One concentration step: mean and covariance of the nearest ``COVERED`` share of each group (and start)."""
     d = len(NAMES)
-    far = _with_distance(good, estimates, keys).where(F.col("distance").isNotNull())
-    # Written first, so that Spark knows its size and broadcasts it while it is small; documents then stay in place.
+    started = [] if "_start" in keys else ["_start"]
+    whole = estimates.withColumn("_estimate", F.struct(*_entries(), *started))
+    far = _with_distance(good, whole, keys, "_estimate").where(F.col("distance").isNotNull())
+    # Written first, so that Spark knows its size and broadcasts it while it is small; documents then stay in place. Estimates go
+    # along with their limits, so that rows meet one small table and not one after the other: each broadcast and each stage
+    # takes several MB of the driver's memory, whatever its size.
     limits = materialise(far.groupBy(*keys).agg(
-        F.percentile_approx("distance", COVERED, 10000).alias("_limit"), F.count(F.lit(1)).alias("group_rows")
-    ).select(*[F.col(k).alias(f"k{k}") for k in keys], "_limit", "group_rows"), "mcd-limits")
-    near = far.join(limits, _equal(keys, "k")).where(F.col("distance") <= F.col("_limit"))
+        F.percentile_approx("distance", COVERED, 10000).alias("_limit"), F.count(F.lit(1)).alias("group_rows"), F.first("_estimate").alias("_estimate")
+    ).select(*keys, "_limit", "group_rows", "_estimate.*"), "mcd-limits")
+    near = _with_distance(good, limits, keys, "_limit", "group_rows", *started).where(F.col("distance") <= F.col("_limit"))
     # The trimmed covariance of a normal cloud is too small by a known factor.
     cut = chi_square_quantile(COVERED, d)
     factor = COVERED / chi_square_cdf(cut, d + 2)
-    moments = near.groupBy(*keys).agg(F.first("group_rows").alias("group_rows"), *_moments([F.col(n) for n in NAMES], factor))
-    if "_start" not in keys:
-        moments = moments.join(estimates.select(*[F.col(k).alias(f"s{k}") for k in keys], "_start"), _equal(keys, "s"))
-    return _factor(moments)
+    return _factor(near.groupBy(*keys).agg(
+        *[F.first(c).alias(c) for c in ("group_rows", *started)], *_moments([F.col(n) for n in NAMES], factor)
+    ))
 
 
 def _moved(before: DataFrame, after: DataFrame) -> bool:
@@ -329,10 +335,10 @@ def outlier_verdicts(documents: DataFrame) -> DataFrame:
 
 def _verdicts(documents: DataFrame) -> DataFrame:
     stats = materialise(_grouped(materialise(text_statistics(documents), "text-statistics")), "grouped-statistics")
-    good = stats.where(~F.col("base_failed")).select(F.explode("_adds").alias("_group"), *NAMES).select(
+    good = materialise(stats.where(~F.col("base_failed")).select(F.explode("_adds").alias("_group"), *NAMES).select(
         F.col("_group.l").alias("_lang"), F.col("_group.s").alias("_source"), *NAMES
-    )
-    estimates = materialise(estimates_of(good), "mcd")
+    ), "good-statistics")
+    estimates = estimates_of(good)
     cutoff = chi_square_quantile(INSIDE, len(NAMES))
     return _with_distance(stats.drop("_adds"), estimates, KEY).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",

@@ -82,6 +82,17 @@ def test_estimates_are_those_of_plain_steps(spark):
         assert far >= {"=a": 40, "=b": 0, "=c": 100}[lang]  # every planted outlier
 
 
+def test_a_step_reads_rows_against_one_small_table_at_a_time(spark):
+    good = Q.materialise(frame(spark, {"=a": cloud(5), "=b": cloud(6)}), "good")
+    started = good.withColumn("_start", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
+    starts = Q.materialise(Q._starts(good), "starts")
+    for rows, estimates, keys in ((started, starts, Q.STARTED), (good, starts.where("_start = 1"), Q.KEY)):
+        step = Q._concentrate(rows, estimates, keys)
+        plan = step._jdf.queryExecution().optimizedPlan().toString()
+        assert sum("Join " in line for line in plan.split("\n")) == 1
+        assert {r["_start"] for r in step.collect()} == {r["_start"] for r in estimates.collect()}
+
+
 def test_small_groups_are_judged_by_larger_ones(spark):
     rng = np.random.default_rng(4)
     text = lambda: " ".join("".join(rng.choice(list("abcdefgh"), rng.integers(2, 9))) for _ in range(70))
